@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -39,6 +40,16 @@ class RunResult:
     rows_written: int
 
 
+@dataclass
+class Load:
+    """What loading one measure gave: counts, staged tables, what must stop the run."""
+
+    entity: Entity
+    counts: dict[str, int]
+    failures: list[str]
+    tables: list[tuple] = field(default_factory=list)
+
+
 @dataclass
 class Pipeline:
     lake: Lake
@@ -48,6 +59,7 @@ class Pipeline:
     name: str = "tierline"
     # a name for the streams' state; a new one replays everything into new tables
     generation: str = "g0"
+    side_by_side: int = 8
 
     def __post_init__(self):
         self.spark = self.lake.spark
@@ -113,76 +125,93 @@ class Pipeline:
         return status in (None, runlog.SUCCESS, runlog.NO_OP)
 
     def _load(self, run_id: str) -> tuple[str, int, int, list[str]]:
-        taken: dict[str, Ingested] = {
-            e.name: ingest(self.spark, f"{self.landing}/{e.landing_path}", self.bronze(e))
-            for e in self.registry.entities
-        }
-        rows_read = sum(t.rows for t in taken.values())
-        for name, t in taken.items():
-            self.log.record_flow(run_id, f"raw_{name}", t.rows)
+        taken = dict(self._each(self.registry.entities, self._ingest))
+        self.log.record_flows(run_id, {f"raw_{name}": t.rows for name, t in taken.items()})
         if not any(t.files for t in taken.values()) and self._settled(run_id):
             return runlog.NO_OP, 0, 0, []
 
         publish: list[tuple] = []
         dims: dict[str, DataFrame] = {}
-        for e in self.registry.references:
-            bronze, history = self.bronze(e), self.history(e)
-            if not bronze.columns():
-                continue
-            history.run(change_feed_of(bronze.read_stream(), e))
-            dim = with_surrogate_key(history.read(), list(e.keys), f"{e.name}_sk")
-            staged, _, n = self._stage(dim, "gold", f"dim_{e.name}")
-            dims[e.name] = self._open(staged)
-            publish.append(("gold", f"dim_{e.name}", staged, n))
+        for name, staged, n in self._each(self.registry.references, self._dimension):
+            dims[name] = self._open(staged)
+            publish.append(("gold", f"dim_{name}", staged, n))
         staged, _, n = self._stage(dim_year(self.spark), "gold", "dim_year")
         years = self._open(staged)
         publish.append(("gold", "dim_year", staged, n))
 
-        failures = []
-        batch_ids: set[str] = set()
-        for e in self.registry.measures:
-            bronze = self.bronze(e)
-            if not bronze.columns():
-                continue
-            raw = bronze.read()
-            row_rules = [r for r in e.rules if r.row_level]
-            typed = self.silver(e, raw)
-            warn = rules_of(e.rules, "WARN")
-            staged, counts, n = self._stage(
-                typed, "silver", e.name, quality.rule_counts(row_rules), all_pass(warn) if warn else None
-            )
-            self.log.record(run_id, e.name, counts, e.rules)
-            self.log.record_flow(run_id, e.name, n)
-            failures += [f"{e.name}.{b.rule}: {b.detail}" for b in quality.breaches(counts, e.rules)]
-            for r in e.rules:
-                if r.type == "unique" and r.severity == "FATAL":
-                    if not quality.duplicates(typed, list(r.columns)).isEmpty():
-                        failures.append(f"{e.name}.{r.name}: duplicated keys")
-            publish.append(("silver", e.name, staged, n))
-            if warn and counts["n"] != n:
-                dropped = quality.quarantine(typed, e.rules).withColumns(
-                    {"entity": F.lit(e.name), "quarantined_at": F.current_timestamp()}
-                )
-                bad, _, m = self._stage(dropped, "metadata", f"dq_quarantine_{e.name}")
-                publish.append(("metadata", f"dq_quarantine_{e.name}", bad, m))
-            fact = self.fact(e, self._open(staged), dims, years).hint("rebalance", "year_sk")
-            staged, _, n = self._stage(fact, "gold", f"fact_{e.name}", partition_by=("year_sk",))
-            self.log.record_flow(run_id, f"fact_{e.name}", n)
-            publish.append(("gold", f"fact_{e.name}", staged, n))
+        loads = self._each(self.registry.measures, lambda e: self._measure(e, dims, years))
+        self.log.record_quality(run_id, [(x.entity, x.counts) for x in loads])
+        self.log.record_flows(run_id, {t: n for x in loads for _, t, _, n in x.tables})
+        failures = [f for x in loads for f in x.failures]
         if failures:
             raise quality.QualityError("; ".join(failures))
-
-        for e in self.registry.entities:
-            bronze = self.bronze(e)
-            if "batch_id" in bronze.columns():
-                found = runlog.source_registry(bronze.read(), e.name)
-                staged, _, n = self._stage(found, "metadata", f"source_registry_{e.name}")
-                publish.append(("metadata", f"source_registry_{e.name}", staged, n))
-                if taken[e.name].files:
-                    batch_ids |= {r["batch_id"] for r in self._open(staged).select("batch_id").distinct().collect()}
+        for x in loads:
+            publish += x.tables
+
+        batches: set[str] = set()
+        for name, staged, n in self._each(self.registry.entities, self._sources):
+            publish.append(("metadata", f"source_registry_{name}", staged, n))
+            if taken[name].files:
+                named = self._open(staged).select("batch_id").distinct()
+                batches |= {r["batch_id"] for r in named.collect() if r["batch_id"]}
         self.lake.publish_all(publish, run_id)
         written = sum(n for layer, _, _, n in publish if layer in ("silver", "gold"))
-        return runlog.SUCCESS, rows_read, written, sorted(b for b in batch_ids if b)
+        return runlog.SUCCESS, sum(t.rows for t in taken.values()), written, sorted(batches)
+
+    # ---- one entity -------------------------------------------------------------------------
+
+    def _each(self, entities, work) -> list:
+        """Entities do not depend on each other; their Spark jobs run side by side."""
+        with ThreadPoolExecutor(max_workers=self.side_by_side) as pool:
+            return [r for r in pool.map(work, entities) if r is not None]
+
+    def _ingest(self, e: Entity) -> tuple[str, Ingested]:
+        return e.name, ingest(self.spark, f"{self.landing}/{e.landing_path}", self.bronze(e))
+
+    def _dimension(self, e: Entity):
+        bronze, history = self.bronze(e), self.history(e)
+        if not bronze.columns():
+            return None
+        history.run(change_feed_of(bronze.read_stream(), e))
+        dim = with_surrogate_key(history.read(), list(e.keys), f"{e.name}_sk")
+        staged, _, n = self._stage(dim, "gold", f"dim_{e.name}")
+        return e.name, staged, n
+
+    def _measure(self, e: Entity, dims: dict[str, DataFrame], years: DataFrame) -> Load | None:
+        bronze = self.bronze(e)
+        if not bronze.columns():
+            return None
+        typed, warn = self.silver(e, bronze.read()), rules_of(e.rules, "WARN")
+        staged, counts, n = self._stage(
+            typed, "silver", e.name, quality.rule_counts(e.rules), all_pass(warn) if warn else None
+        )
+        load = Load(e, counts, [f"{e.name}.{b.rule}: {b.detail}" for b in quality.breaches(counts, e.rules)])
+        for r in e.rules:
+            if r.type == "unique" and r.severity == "FATAL":
+                if not quality.duplicates(typed, list(r.columns)).isEmpty():
+                    load.failures.append(f"{e.name}.{r.name}: duplicated keys")
+        load.tables.append(("silver", e.name, staged, n))
+        if load.failures:
+            return load
+        if counts["n"] != n:
+            dropped = quality.quarantine(typed, e.rules).withColumns(
+                {"entity": F.lit(e.name), "quarantined_at": F.current_timestamp()}
+            )
+            bad, _, m = self._stage(dropped, "metadata", f"dq_quarantine_{e.name}")
+            load.tables.append(("metadata", f"dq_quarantine_{e.name}", bad, m))
+        fact = self.fact(e, self._open(staged), dims, years).hint("rebalance", "year_sk")
+        staged, _, n = self._stage(fact, "gold", f"fact_{e.name}", partition_by=("year_sk",))
+        load.tables.append(("gold", f"fact_{e.name}", staged, n))
+        return load
+
+    def _sources(self, e: Entity):
+        bronze = self.bronze(e)
+        if "batch_id" not in bronze.columns():
+            return None
+        staged, _, n = self._stage(
+            runlog.source_registry(bronze.read(), e.name), "metadata", f"source_registry_{e.name}"
+        )
+        return e.name, staged, n
 
     def run(self, run_id: str | None = None, trigger: str = "manual") -> RunResult:
         run_id = run_id or uuid.uuid4().hex

@@ -6,6 +6,7 @@ in place.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from tierline.functions.columns import event_metric
 from tierline.registry import Settings
-from tierline.sources.lake import Lake, read_if_there
+from tierline.sources.lake import Lake, read_or_create
 
 # Run states.
 RUNNING, SUCCESS, NO_OP, FAILED = "RUNNING", "SUCCESS", "NO_OP", "FAILED"
@@ -190,31 +191,37 @@ class RunLog:
         row = (run_id, "CLOSE", now, None, None, None, status, list(batch_ids), rows_read, rows_written, error_class, error_message)
         self._append([row], RUN_EVENTS, "run_events")
 
-    def record(self, run_id: str, entity: str, counts: dict[str, int], rules) -> None:
-        """Quality results of one load, from the counts observed while it was written."""
-        now, n = datetime.now(timezone.utc), counts.get("n") or 0
-        rows = []
-        for r in rules:
-            if r.row_level:
-                failed = counts.get(f"failed__{r.name}") or 0
-                rate = (n - failed) / n if n else None
-                rows.append((run_id, None, entity, r.name, r.severity, n, n - failed, failed, rate, now))
+    def record_quality(self, run_id: str, loads: list[tuple]) -> None:
+        """Quality results of (entity, counts) pairs; counts were observed during the writes."""
+        now, rows = datetime.now(timezone.utc), []
+        for e, counts in loads:
+            n = counts.get("n") or 0
+            for r in e.rules:
+                if r.row_level:
+                    failed = counts.get(f"failed__{r.name}") or 0
+                    rate = (n - failed) / n if n else None
+                    rows.append((run_id, None, e.name, r.name, r.severity, n, n - failed, failed, rate, now))
         if rows:
             self._append(rows, DQ_RESULTS, "dq_results")
 
-    def record_flow(self, run_id: str, table: str, rows: int) -> None:
+    def record_flows(self, run_id: str, rows: dict[str, int]) -> None:
+        """Pipeline events: rows written per table."""
         now = datetime.now(timezone.utc)
-        details = '{"flow_progress":{"metrics":{"num_output_rows":%d}}}' % rows
-        self._append([((run_id,), "flow_progress", now, f"Completed flow {table}", details)], PIPELINE_EVENTS, "pipeline_events")
+        events = [
+            ((run_id,), "flow_progress", now, f"Completed flow {table}",
+             json.dumps({"flow_progress": {"metrics": {"num_output_rows": n}}}))
+            for table, n in rows.items()
+        ]
+        self._append(events, PIPELINE_EVENTS, "pipeline_events")
 
     def runs(self) -> DataFrame:
-        return run_state(read_if_there(self.lake.spark, self.lake.path("metadata", "run_events"), RUN_EVENTS))
+        return run_state(read_or_create(self.lake.spark, self.lake.path("metadata", "run_events"), RUN_EVENTS))
 
     def dq_results(self) -> DataFrame:
-        return read_if_there(self.lake.spark, self.lake.path("metadata", "dq_results"), DQ_RESULTS)
+        return read_or_create(self.lake.spark, self.lake.path("metadata", "dq_results"), DQ_RESULTS)
 
     def events(self) -> DataFrame:
-        return read_if_there(self.lake.spark, self.lake.path("metadata", "pipeline_events"), PIPELINE_EVENTS)
+        return read_or_create(self.lake.spark, self.lake.path("metadata", "pipeline_events"), PIPELINE_EVENTS)
 
     def health(self, settings: Settings) -> DataFrame:
         return health(self.runs(), self.dq_results(), settings).orderBy(F.col("started_at").desc())

@@ -11,7 +11,6 @@ import json
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,14 +38,14 @@ PUBLICATIONS = T.StructType(
 )
 
 
-def read_if_there(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """The table, or an empty one where nothing was written yet."""
-    try:
-        return spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def read_or_create(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+                   partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """The table at ``path``, made empty first where there is none. Doing so twice is harmless."""
+    empty = spark.createDataFrame([], schema).write.mode("ignore").format(fmt)
+    if partition_by:
+        empty = empty.partitionBy(*partition_by)
+    empty.save(path)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 @dataclass(frozen=True)
@@ -70,7 +69,7 @@ class Lake:
         return self.path("metadata", "publications")
 
     def log(self) -> DataFrame:
-        return read_if_there(self.spark, self.log_path, PUBLICATIONS, "json")
+        return read_or_create(self.spark, self.log_path, PUBLICATIONS, "json")
 
     def published(self) -> dict[tuple[str, str], Published]:
         """The current folder of every table: one row per table, read in one job."""

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tierline.operators.history import END, START, scd2
 from tierline.operators.shaping import typed_select
-from tierline.sources.lake import read_if_there
+from tierline.sources.lake import read_or_create
 
 BUCKETS = 64
 
@@ -83,11 +83,11 @@ class HistoryTable:
     def feed(self) -> DataFrame:
         stored = T.StructType(list(self.feed_schema.fields))
         stored = stored.add("_bucket", T.IntegerType()).add("_batch", T.LongType())
-        return read_if_there(self.spark, self.feed_path, stored)
+        return read_or_create(self.spark, self.feed_path, stored, partition_by=("_bucket", "_batch"))
 
     def read(self) -> DataFrame:
         stored = self.dim_schema().add("_bucket", T.IntegerType())
-        return read_if_there(self.spark, self.dim_path, stored).drop("_bucket")
+        return read_or_create(self.spark, self.dim_path, stored, partition_by=("_bucket",)).drop("_bucket")
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
         """Take one batch. Taking the same batch again changes nothing."""

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.sources.lake import read_or_create
 from tierline.sources.landing import headers, read_by_header, text_schema
-from tierline.sources.lake import read_if_there
 
 FILES_PER_BATCH = 1000
 
@@ -59,7 +59,7 @@ class Bronze:
 
     def columns(self) -> list[str]:
         """Every column any batch brought, oldest first."""
-        seen = read_if_there(self.spark, self.columns_path, COLUMNS, "json")
+        seen = read_or_create(self.spark, self.columns_path, COLUMNS, "json", ("batch",))
         first = seen.groupBy("name").agg(F.min(F.struct("batch", "position")).alias("at"))
         return [r["name"] for r in first.orderBy("at").collect()]
 
@@ -73,7 +73,8 @@ class Bronze:
 
     def read(self) -> DataFrame:
         """All rows; a column a file did not have is NULL in its rows."""
-        return read_if_there(self.spark, self.data, self.schema().add("_batch", T.LongType())).drop("_batch")
+        stored = self.schema().add("_batch", T.LongType())
+        return read_or_create(self.spark, self.data, stored, partition_by=("_batch",)).drop("_batch")
 
     def read_stream(self) -> DataFrame:
         """New rows since the reader's checkpoint, under the columns known at the start."""
@@ -109,8 +110,8 @@ def ingest(spark: SparkSession, landing: str, bronze: Bronze, files_per_batch: i
 
         # files are listed in path order, so the column order does not depend on the listing
         new = list(dict.fromkeys(c for p in sorted(names) for c in names[p]))
-        listed = spark.createDataFrame([(batch_id, i, c) for i, c in enumerate(new)], COLUMNS)
-        listed.coalesce(1).write.mode("overwrite").json(f"{bronze.columns_path}/b={batch_id}")
+        listed = spark.createDataFrame([(batch_id, i, c) for i, c in enumerate(new)], COLUMNS).drop("batch")
+        listed.coalesce(1).write.mode("overwrite").json(f"{bronze.columns_path}/batch={batch_id}")
         taken.append((len(paths), counted.get["n"]))
 
     query = (
