@@ -128,7 +128,12 @@ def linked(df: DataFrame, selection: dict[str, list]) -> DataFrame:
     return df.where(chosen({f: v for f, v in selection.items() if f in df.columns}))
 
 
-def options(df: DataFrame, field: str, selection: dict[str, list]) -> DataFrame:
-    """Every value of a field with the number of rows the *other* selections leave it."""
+def options(df: DataFrame, field: str, selection: dict[str, list], weight: str | None = None) -> DataFrame:
+    """Every value of a field with the number of rows the *other* selections leave it.
+
+    Where ``df`` is already counted per combination of fields, ``weight`` names the count.
+    """
     others = {f: v for f, v in selection.items() if f != field and f in df.columns}
-    return df.groupBy(field).agg(F.count_if(chosen(others)).alias("associated_rows"))
+    each = F.col(weight) if weight else F.lit(1)
+    n = F.sum(F.when(chosen(others), each).otherwise(F.lit(0)))
+    return df.groupBy(field).agg(n.cast("long").alias("associated_rows"))
