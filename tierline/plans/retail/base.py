@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import exact_round, ratio
+from tierline.functions.columns import exact_round, hundredths, ratio, scaled
 from tierline.operators import history as hist
 from tierline.operators.star import build_fact, dim_year, star_rows
-from tierline.session import materialize, tune
+from tierline.session import materialize, spread, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,11 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dec(c: str | Column, scale: int = 2) -> Column:
-    """Exact form of a stored amount, so that sums do not depend on their order."""
-    return (F.col(c) if isinstance(c, str) else c).cast(f"decimal(18,{scale})")
-
-
 # ---- history: an order is an observed state of its customer ----------------------------------
 
 
@@ -79,7 +74,8 @@ h AS (SELECT o_custkey, o_orderpriority, o_totalprice, start_at AS "__START_AT",
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return table(spark, sf_dir, "lineitem").join(orders, "l_orderkey")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    return lines.join(orders, "l_orderkey")
 
 
 def bind(spark: SparkSession, rows: DataFrame, dim: DataFrame, at: str, attrs: tuple[str, ...] = (), leave_out=()) -> DataFrame:
@@ -105,16 +101,20 @@ FLAGS = ("R", "A", "N")
 
 
 def _sums() -> list[Column]:
+    """Counts and whole-number sums; revenue counts ten-thousandths."""
     flag = F.col("l_returnflag")
+    discount = F.floor(F.col("l_discount") * 100 + 0.5)
+    price = F.floor(F.col("l_extendedprice") * 100 + 0.5)
     out = [
         F.count(F.lit(1)).alias("lines"),
-        F.sum(dec("l_quantity")).alias("quantity"),
-        F.sum(dec("l_extendedprice")).alias("price"),
-        F.sum(dec("l_extendedprice") * (1 - dec("l_discount"))).alias("revenue"),
+        F.sum(hundredths("l_quantity")).alias("quantity"),
+        F.sum(hundredths("l_extendedprice")).alias("price"),
+        F.sum((price * (100 - discount)).cast("decimal(20,0)")).alias("revenue"),
     ]
     for f in FLAGS:
         out.append(F.count_if(flag == f).alias(f"lines_{f.lower()}"))
-        out.append(F.coalesce(F.sum(F.when(flag == f, dec("l_quantity"))), F.lit(0)).alias(f"quantity_{f.lower()}"))
+        mine = F.when(flag == f, hundredths("l_quantity"))
+        out.append(F.coalesce(F.sum(mine), F.lit(0)).alias(f"quantity_{f.lower()}"))
     return out
 
 
@@ -136,10 +136,11 @@ def nation_years(spark: SparkSession, sf_dir: str) -> DataFrame:
         "nation_sk",
         "year_sk",
         F.col("lines").cast("long").alias("lines"),
-        *[F.col(c).cast("double").alias(c) for c in ("quantity", "revenue")],
-        (F.col("price").cast("double") / F.col("lines")).alias("avg_price"),
+        scaled("quantity").alias("quantity"),
+        scaled("revenue", 4).alias("revenue"),
+        (scaled("price") / F.col("lines")).alias("avg_price"),
         *[F.col(f"lines_{f}").cast("long").alias(f"lines_{f}") for f in flags],
-        *[ratio(F.col(f"quantity_{f}").cast("double"), f"lines_{f}").alias(f"freq_{f}") for f in flags],
+        *[ratio(scaled(f"quantity_{f}"), f"lines_{f}").alias(f"freq_{f}") for f in flags],
         *[
             exact_round(F.least(F.lit(0.98), F.col(f"lines_{f}") / F.col("lines")), 3).cast("double").alias(f"coverage_{f}")
             for f in flags

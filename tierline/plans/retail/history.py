@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tierline.functions.columns import UNKNOWN_SK
+from tierline.functions.columns import UNKNOWN_SK, hundredths, scaled
 from tierline.operators import checks, star
 from tierline.operators import history as hist
 from tierline.operators.asof import temporal_join
 from tierline.operators.quality import duplicates
-from tierline.plans.retail.base import FACT, H, bind, dec, dimension, history, order_lines, query, sales_fact, table
+from tierline.plans.retail.base import FACT, H, bind, dimension, history, order_lines, query, sales_fact, table
 from tierline.session import materialize, work_dir
 from tierline.streaming.changes import HistoryTable
 
@@ -195,7 +195,7 @@ def dim_coverage(spark, sf):
 
 def _customer_years(lines):
     return lines.groupBy("o_custkey", F.year("l_shipdate").alias("year_sk"), F.col("l_linestatus").alias("source_system")).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum(dec("l_quantity")).cast("double").alias("quantity")
+        F.count(F.lit(1)).alias("lines"), scaled(F.sum(hundredths("l_quantity"))).alias("quantity")
     )
 
 
@@ -234,9 +234,9 @@ def drill_across(spark, sf):
         {"sales": sales, "returns": sales.where("l_returnflag = 'R'"), "orders": orders},
         ["customer_sk", "year_sk"],
         {
-            "sales": [n.alias("lines"), F.sum(dec("l_quantity")).cast("double").alias("quantity")],
+            "sales": [n.alias("lines"), scaled(F.sum(hundredths("l_quantity"))).alias("quantity")],
             "returns": [n.alias("returned_lines")],
-            "orders": [n.alias("orders"), F.sum(dec("o_totalprice")).cast("double").alias("total")],
+            "orders": [n.alias("orders"), scaled(F.sum(hundredths("o_totalprice"))).alias("total")],
         },
     )
     names = dim.select("customer_sk", "o_custkey", F.col(hist.START).alias("start_at"))

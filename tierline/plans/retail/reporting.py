@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tierline.functions.columns import hundredths, scaled
 from tierline.operators import scoring, star
 from tierline.operators.checks import combine
 from tierline.operators.scoring import Factor, Mode
@@ -121,7 +122,7 @@ def minmax_score(spark, sf):
     """Two factors scaled between the table's extremes, one of them inverted."""
     per = table(spark, sf, "supplier").groupBy("s_nationkey").agg(
         F.count(F.lit(1)).alias("suppliers"),
-        (F.sum(F.col("s_acctbal").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("balance"),
+        (scaled(F.sum(hundredths("s_acctbal"))) / F.count(F.lit(1))).alias("balance"),
     )
     return scoring.min_max(per, [Factor("few", "suppliers", inverted=True), Factor("rich", "balance")], 25.0)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_TASK_CONF = "tierline.rowsPerTask"
 ROWS_PER_TASK = 5_000_000
@@ -57,7 +57,20 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(spark: SparkSession, df):
-    """Reliable checkpoint: computed once, kept in the shared folder, safe if executors go."""
-    shared_dir(spark)
-    return df.checkpoint(eager=True)
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Use all cores where the input has fewer splits than there are cores.
+
+    Large inputs have far more splits than cores and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
+
+def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Compute once into a table in the shared folder and go on from there.
+
+    The table outlives lost executors, is read by column, and its size is known to the planner.
+    """
+    path = work_dir(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
