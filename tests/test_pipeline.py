@@ -7,7 +7,7 @@ import pytest
 
 from tierline import registry
 from tierline.operators.quality import QualityError
-from tierline.plans import suburbs
+from tierline.plans import runlog, suburbs, verification
 from tierline.plans.pipeline import Pipeline
 from tierline.sources.lake import Lake
 
@@ -98,6 +98,22 @@ def test_views_and_datasets(mart):
     assert rows(d["ds_q4"], "suburb_name", "population_total") == [("Ash", 1002), ("Birch", 2002), ("Cedar", 3002)]
 
 
+def test_verification_and_diagnosis(mart):
+    _, lake, pipe, _ = mart
+    found = {r["check"]: r for r in verification.verify(pipe, suburbs.views(lake)).collect()}
+    assert {r["result"] for r in found.values()} == {"PASS"} and len(found) == 2 + 5 + 4 + 10 + 6
+    assert found["row flow: crime"]["detail"] == "rows reach fact (9)"
+    fact = verification.diagnose_fact(pipe, "crime")
+    assert rows(fact["by_year"], "year", "resolved", "unknown") == [(y, 3, 0) for y in YEARS]
+    assert fact["coverage"].first()["entities"] == 3 and fact["orphans"].count() == 0
+    silver = verification.diagnose_silver(pipe, "crime")
+    assert silver["keys"].first().asDict() == {"bronze_rows": 9, "null_keys": 0, "duplicated_grains": 0}
+    assert silver["flow"].first()["drop_pct"] == 0.0 and silver["rules"].count() == 2
+    assert [r["message"].split()[-1] for r in silver["order"].collect()][0] == "raw_crime"
+    latest = runlog.rows_written_by_latest(pipe.log.events()).first()
+    assert latest["update_id"] == "r1" and latest["rows_written"] > 0
+
+
 def test_no_op_change_restatement_and_failure(mart, spark):
     root, lake, pipe, _ = mart
     before = lake.published()
@@ -134,3 +150,20 @@ def test_no_op_change_restatement_and_failure(mart, spark):
         pipe.run("r5")
     assert "vw_q1_population_growth" in suburbs.publish(lake)
     assert spark.table("vw_q1_population_growth").count() == 9
+
+
+def test_full_refresh_gives_the_same_tables_and_is_remembered(spark, tmp_path):
+    land_all(tmp_path / "landing")
+    only = registry.Registry(tuple(e for e in registry.load().entities if e.name in ("suburb_ref", "crime")))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    pipe = Pipeline(lake, only, str(tmp_path / "landing"))
+    pipe.run("a")
+    dim, fact = lake.read("gold", "dim_suburb_ref"), lake.read("gold", "fact_crime")
+    assert pipe.full_refresh("b").status == "SUCCESS"
+    again = Pipeline(lake, only, str(tmp_path / "landing"))
+    assert again.generation == pipe.generation != "g0"
+    assert again.run("c").status == "NO_OP"
+    for old, name in ((dim, "dim_suburb_ref"), (fact, "fact_crime")):
+        new = lake.read("gold", name).drop("gold_loaded_at", "ingested_at")
+        old = old.drop("gold_loaded_at", "ingested_at")
+        assert new.exceptAll(old).count() == 0 and old.exceptAll(new).count() == 0

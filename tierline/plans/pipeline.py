@@ -57,13 +57,17 @@ class Pipeline:
     landing: str
     env: str = "dev"
     name: str = "tierline"
-    # a name for the streams' state; a new one replays everything into new tables
-    generation: str = "g0"
+    # a name for the streams' state; a new one replays everything into new tables. By default the
+    # one that was published last
+    generation: str | None = None
     side_by_side: int = 8
 
     def __post_init__(self):
         self.spark = self.lake.spark
         self.log = RunLog(self.lake)
+        if self.generation is None:
+            last = self.lake.published().get(("metadata", "generation"))
+            self.generation = last.path if last else "g0"
 
     # ---- layers -----------------------------------------------------------------------------
 
@@ -154,6 +158,7 @@ class Pipeline:
             if taken[name].files:
                 named = self._open(staged).select("batch_id").distinct()
                 batches |= {r["batch_id"] for r in named.collect() if r["batch_id"]}
+        publish.append(("metadata", "generation", (self.generation, "{}"), 0))
         self.lake.publish_all(publish, run_id)
         written = sum(n for layer, _, _, n in publish if layer in ("silver", "gold"))
         return runlog.SUCCESS, sum(t.rows for t in taken.values()), written, sorted(batches)
@@ -225,10 +230,14 @@ class Pipeline:
         return RunResult(run_id, status, read, written)
 
     def full_refresh(self, run_id: str | None = None) -> RunResult:
-        """Replay every landing file into new streams and tables; the old ones stay readable
-        until the run has published."""
-        self.generation = f"g-{uuid.uuid4().hex}"
-        return self.run(run_id, "full_refresh")
+        """Replay every landing file into new streams and tables; the old ones stay in use until
+        the new ones are published, and remain so if the replay fails."""
+        before, self.generation = self.generation, f"g-{uuid.uuid4().hex}"
+        try:
+            return self.run(run_id, "full_refresh")
+        except Exception:
+            self.generation = before
+            raise
 
 
 def change_feed_of(raw: DataFrame, e: Entity) -> DataFrame:

@@ -10,7 +10,7 @@ from tierline.operators.shaping import dedup_latest
 from tierline.plans.retail.base import query, table
 from tierline.plans.retail.landing import LATEST
 from tierline.registry import Rule
-from tierline.session import work_dir
+from tierline.session import materialize, work_dir
 from tierline.sources.lake import Lake
 
 LINE_RULES = [
@@ -176,6 +176,7 @@ def key_health(spark, sf):
 def flow(spark, sf):
     lines, orders, docs = (table(spark, sf, t) for t in ("lineitem", "orders", "documents"))
     silver = quality.keep_valid(dedup_latest(lines, ["l_orderkey", "l_linenumber"], LATEST), LINE_RULES)
+    silver = materialize(spark, silver.select("l_orderkey", "l_linenumber"))
     fact = silver.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
     unique_orders = orders.select("o_custkey", "o_orderdate").dropDuplicates()
     nothing = docs.where("n_chars < 0")

@@ -1,8 +1,9 @@
 """Change feeds and history kept up to date from them.
 
 The feed is stored by key bucket. A micro-batch writes its rows into the feed, then rebuilds the
-history of the buckets it touched from the whole feed of those buckets. History is a function
-of the feed, so late, repeated and unordered changes come out right without a special case.
+histories of the keys it changed from all their rows in the feed, and copies the other histories
+of the buckets concerned. History is a function of the feed, so late, repeated and unordered
+changes come out right without a special case, and doing a batch again changes nothing.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from tierline.operators.history import END, START, scd2
 from tierline.operators.shaping import typed_select
+from tierline.session import materialize
 from tierline.sources.lake import read_or_create
 
 BUCKETS = 64
@@ -40,7 +42,7 @@ def run_feed(feed: DataFrame, path: str, checkpoint: str) -> int:
 
 @dataclass(frozen=True)
 class HistoryTable:
-    """A history fed by changes. ``buckets`` bounds what one batch must rebuild at least."""
+    """A history fed by changes, stored in ``buckets`` parts: the unit a batch rewrites."""
 
     spark: SparkSession
     path: str
@@ -85,9 +87,12 @@ class HistoryTable:
         stored = stored.add("_bucket", T.IntegerType()).add("_batch", T.LongType())
         return read_or_create(self.spark, self.feed_path, stored, partition_by=("_bucket", "_batch"))
 
-    def read(self) -> DataFrame:
+    def _stored(self) -> DataFrame:
         stored = self.dim_schema().add("_bucket", T.IntegerType())
-        return read_or_create(self.spark, self.dim_path, stored, partition_by=("_bucket",)).drop("_bucket")
+        return read_or_create(self.spark, self.dim_path, stored, partition_by=("_bucket",))
+
+    def read(self) -> DataFrame:
+        return self._stored().drop("_bucket")
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
         """Take one batch. Taking the same batch again changes nothing."""
@@ -107,13 +112,22 @@ class HistoryTable:
             .parquet(self.feed_path)
         )
         # at most ``buckets`` numbers, read from the names of the partitions just written
-        mine = self.feed().where(F.col("_batch") == batch_id).select("_bucket").distinct()
-        touched = [r["_bucket"] for r in mine.collect()]
+        mine = self.feed().where(F.col("_batch") == batch_id)
+        touched = [r["_bucket"] for r in mine.select("_bucket").distinct().collect()]
         if not touched:
             return
-        history = self.build(self.feed().where(F.col("_bucket").isin(touched)).drop("_batch"))
+        mine = mine.where(F.col("_bucket").isin(touched))
+        changed = materialize(self.spark, mine.select(*self.keys).distinct())
+        stored = self._stored().where(F.col("_bucket").isin(touched))
+        feed = self.feed().where(F.col("_bucket").isin(touched)).drop("_batch")
+
+        # histories of the changed keys are built anew, all others of their buckets are copied;
+        # the result is complete before the first bucket is replaced
+        rebuilt = self.build(feed.join(changed, list(self.keys), "left_semi"))
+        kept = stored.join(changed, list(self.keys), "left_anti")
+        fresh = materialize(self.spark, kept.unionByName(rebuilt.withColumn("_bucket", self._bucket())))
         (
-            history.withColumn("_bucket", self._bucket())
+            fresh.repartition("_bucket", F.pmod(F.xxhash64(START), F.lit(8)))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_bucket")
