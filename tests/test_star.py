@@ -78,14 +78,14 @@ def test_row_flow_and_verdicts(spark):
     assert [flow[e]["status"] for e in ("ok", "lost", "unbound", "empty")] == ["OK", "FAIL", "FAIL", "EMPTY"]
     assert flow["lost"]["drop_pct"] == 100.0 and flow["empty"]["drop_pct"] is None
     with pytest.raises(checks.VerificationError):
-        checks.require_clean(checks.combine(checks.flow_checks(checks.row_flow({"lost": (full, none, none)}))))
+        checks.require_clean(checks.flow_checks(checks.row_flow({"lost": (full, none, none)})))
 
 
 def test_a_no_op_run_is_healthy(spark):
     runs = spark.createDataFrame([("SUCCESS", 5, 1), ("NO_OP", 0, 2)], "status string, rows_written long, started_at int")
-    assert [r["result"] for r in checks.combine(checks.run_checks(runs)).collect()] == ["PASS", "PASS"]
+    assert [r["result"] for r in checks.report(spark, checks.run_checks(runs)).collect()] == ["PASS", "PASS"]
     failed = runs.union(spark.createDataFrame([("FAILED", 0, 3)], runs.schema))
-    assert [r["result"] for r in checks.combine(checks.run_checks(failed)).collect()] == ["FAIL", "WARN"]
+    assert [r["result"] for r in checks.report(spark, checks.run_checks(failed)).collect()] == ["FAIL", "WARN"]
 
 
 def test_unknown_rate_warns_above_half(spark):

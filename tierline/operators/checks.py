@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import OPEN_END, UNKNOWN_SK, exact_round
@@ -23,22 +23,22 @@ def _count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
+def _rows(spark: SparkSession, structs: list[Column]) -> DataFrame:
+    """One row per struct, the NULL ones left out. The scalar subqueries inside run side by side."""
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("r")).where("r IS NOT NULL").select("r.*")
+
+
 def row_flow(layers: dict[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
     """Rows per entity in the raw, typed and fact layer, the share lost on the way, a status."""
-    parts = []
-    for i, (entity, tables) in enumerate(layers.items(), 1):
-        raw, typed, fact = (_count(t).scalar() for t in tables)
-        spark = tables[0].sparkSession
-        parts.append(
-            spark.range(1).select(
-                F.lit(i).alias("idx"),
-                F.lit(entity).alias("entity"),
-                raw.alias("bronze"),
-                typed.alias("silver"),
-                fact.alias("fact"),
-            )
+    parts = [
+        F.struct(
+            F.lit(i).alias("idx"),
+            F.lit(entity).alias("entity"),
+            *[_count(t).scalar().alias(n) for t, n in zip(tables, ("bronze", "silver", "fact"))],
         )
-    flow = reduce(DataFrame.unionByName, parts)
+        for i, (entity, tables) in enumerate(layers.items(), 1)
+    ]
+    flow = _rows(next(iter(layers.values()))[0].sparkSession, parts)
     b, s, f = F.col("bronze"), F.col("silver"), F.col("fact")
     status = (
         F.when((b > 0) & (s == 0), "FAIL").when((s > 0) & (f == 0), "FAIL").when(f > 0, "OK").otherwise("EMPTY")
@@ -117,8 +117,13 @@ def key_health(raw: DataFrame, key: str, grain: list[str]) -> DataFrame:
     )
 
 
-def _check(spark, ord_: int, sub: int, name: str, result: Column, detail: Column) -> DataFrame:
-    return spark.range(1).select(
+# ---- checks as rows -------------------------------------------------------------------------
+# A check is one struct of (ord, sub, check, result, detail) over scalar subqueries; ``report``
+# makes a table of any number of them in one plan.
+
+
+def _check(ord_: int, sub: int, name: str, result: Column, detail: Column) -> Column:
+    return F.struct(
         F.lit(ord_).alias("ord"),
         F.lit(sub).alias("sub"),
         F.lit(name).alias("check"),
@@ -131,25 +136,25 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
-def run_checks(latest_run: DataFrame) -> list[DataFrame]:
+def _pass_if(ok: Column, otherwise: str = "FAIL") -> Column:
+    return F.when(ok, "PASS").otherwise(otherwise)
+
+
+def run_checks(runs: DataFrame) -> list[Column]:
     """Status and rows of the newest run. A run that found nothing new is as good as a success."""
-    spark = latest_run.sparkSession
-    run = latest_run.agg(
-        F.max_by(F.struct("status", "rows_written"), "started_at").alias("r")
-    )
-    state = run.select(F.coalesce(F.col("r.status"), F.lit("<none>"))).scalar()
-    rows = run.select(F.coalesce(F.col("r.rows_written"), F.lit(0))).scalar()
-    ok = state.isin("SUCCESS", "NO_OP")
+    run = runs.agg(F.max_by(F.struct("status", "rows_written"), "started_at").alias("r")).scalar()
+    state = F.coalesce(run.getField("status"), F.lit("<none>"))
+    rows = F.coalesce(run.getField("rows_written"), F.lit(0))
     return [
-        _check(spark, 10, 0, "run health: latest run status",
-               F.when(ok, "PASS").otherwise("FAIL"), F.concat(F.lit("status="), state)),
-        _check(spark, 11, 0, "run health: rows written",
-               F.when((rows > 0) | (state == "NO_OP"), "PASS").otherwise("WARN"),
-               F.concat(F.lit("rows_written="), _text(rows))),
+        _check(10, 0, "run health: latest run status",
+               _pass_if(state.isin("SUCCESS", "NO_OP")), F.concat(F.lit("status="), state)),
+        _check(11, 0, "run health: rows written",
+               _pass_if((rows > 0) | (state == "NO_OP"), "WARN"), F.concat(F.lit("rows_written="), _text(rows))),
     ]
 
 
-def flow_checks(flow: DataFrame) -> list[DataFrame]:
+def flow_checks(flow: DataFrame) -> DataFrame:
+    """The row flow as checks: one per entity."""
     result = F.when(F.col("status") == "OK", "PASS").when(F.col("status") == "FAIL", "FAIL").otherwise("WARN")
     b, s, f = F.col("bronze"), F.col("silver"), F.col("fact")
     detail = (
@@ -158,62 +163,56 @@ def flow_checks(flow: DataFrame) -> list[DataFrame]:
         .when(f > 0, F.concat(F.lit("rows reach fact ("), _text(f), F.lit(")")))
         .otherwise("no rows anywhere")
     )
-    return [
-        flow.select(
-            F.lit(20).alias("ord"), F.col("idx").alias("sub"),
-            F.concat(F.lit("row flow: "), F.col("entity")).alias("check"),
-            result.alias("result"), detail.alias("detail"),
-        )
-    ]
+    return flow.select(
+        F.lit(20).alias("ord"), F.col("idx").alias("sub"),
+        F.concat(F.lit("row flow: "), F.col("entity")).alias("check"),
+        result.alias("result"), detail.alias("detail"),
+    )
 
 
-def dim_checks(name: str, dim: DataFrame, sk: str, key: str, ord_: int = 30) -> list[DataFrame]:
-    spark = dim.sparkSession
+def dim_checks(name: str, dim: DataFrame, sk: str, key: str, ord_: int = 30) -> list[Column]:
     row = dim_sanity(dim, sk, [key])
-    twice = row.select("duplicated_keys").scalar()
-    two_open = row.select("keys_with_two_open").scalar()
+    found = row.select(F.struct("duplicated_keys", "keys_with_two_open").alias("s")).scalar()
 
     def one(ord_, title, n, what):
-        return _check(
-            spark, ord_, 0, f"dim sanity: {title}",
-            F.when(n == 0, "PASS").otherwise("FAIL"),
-            F.when(n == 0, "").otherwise(F.concat(_text(n), F.lit(what))),
-        )
+        return _check(ord_, 0, f"dim sanity: {title}", _pass_if(n == 0),
+                      F.when(n == 0, "").otherwise(F.concat(_text(n), F.lit(what))))
 
     return [
-        one(ord_, f"{name}.{sk} unique", twice, " duplicated key(s)"),
-        one(ord_ + 1, f"{name} one open version per {key}", two_open, f" {key}(s) with >1 open version"),
+        one(ord_, f"{name}.{sk} unique", found.getField("duplicated_keys"), " duplicated key(s)"),
+        one(ord_ + 1, f"{name} one open version per {key}", found.getField("keys_with_two_open"),
+            f" {key}(s) with >1 open version"),
     ]
 
 
 def fact_checks(name: str, sub: int, fact: DataFrame, dim: DataFrame, years: DataFrame, sk: str,
-                grain: list[str]) -> list[DataFrame]:
-    spark = fact.sparkSession
+                grain: list[str]) -> list[Column]:
     dup = _count(duplicates(fact, grain)).scalar()
     lost = orphan_keys(fact, dim, sk).agg(F.coalesce(F.sum("fact_rows"), F.lit(0))).scalar()
     lost_years = orphan_keys(fact, years, "year_sk").agg(F.coalesce(F.sum("fact_rows"), F.lit(0))).scalar()
-    rate = unknown_rate(fact, sk)
+    rate = unknown_rate(fact, sk).select(F.struct("unknown_pct", "result").alias("s")).scalar()
+    whole = (lost == 0) & (lost_years == 0)
     return [
-        _check(spark, 40, sub, f"fact grain: {name}",
-               F.when(dup == 0, "PASS").otherwise("FAIL"),
+        _check(40, sub, f"fact grain: {name}", _pass_if(dup == 0),
                F.when(dup == 0, f"({', '.join(grain)}) unique").otherwise(
                    F.concat(_text(dup), F.lit(" duplicated grain row(s)")))),
-        _check(spark, 50, sub, f"integrity: {name}",
-               F.when((lost == 0) & (lost_years == 0), "PASS").otherwise("FAIL"),
-               F.when((lost == 0) & (lost_years == 0), "no orphan keys").otherwise(
+        _check(50, sub, f"integrity: {name}", _pass_if(whole),
+               F.when(whole, "no orphan keys").otherwise(
                    F.concat(F.lit(f"orphan {sk}="), _text(lost), F.lit(" year="), _text(lost_years)))),
-        rate.where(F.col("result") == "WARN").select(
-            F.lit(55).alias("ord"), F.lit(sub).alias("sub"),
-            F.lit(f"integrity: {name} unknown rate").alias("check"), "result",
-            F.concat(_text(F.col("unknown_pct")), F.lit("% on the unknown member")).alias("detail"),
-        ),
+        F.when(rate.getField("result") == "WARN", _check(
+            55, sub, f"integrity: {name} unknown rate", F.lit("WARN"),
+            F.concat(_text(rate.getField("unknown_pct")), F.lit("% on the unknown member")))),
     ]
 
 
-def serving_check(name: str, sub: int, view: DataFrame) -> DataFrame:
+def serving_check(name: str, sub: int, view: DataFrame) -> Column:
     n = _count(view).scalar()
-    return _check(view.sparkSession, 60, sub, f"serving: {name}",
-                  F.when(n == 0, "WARN").otherwise("PASS"), F.concat(_text(n), F.lit(" rows")))
+    return _check(60, sub, f"serving: {name}", _pass_if(n > 0, "WARN"), F.concat(_text(n), F.lit(" rows")))
+
+
+def report(spark: SparkSession, checks: list[Column], flow: DataFrame | None = None) -> DataFrame:
+    out = _rows(spark, checks)
+    return out if flow is None else out.unionByName(flow_checks(flow))
 
 
 def combine(parts: list[DataFrame]) -> DataFrame:

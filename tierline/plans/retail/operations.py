@@ -165,15 +165,14 @@ def all_checks(spark, sf):
     per_year = lines.groupBy("customer_sk", "year_sk").agg(F.sum("l_quantity").alias("quantity"))
     runs = materialize(spark, runlog.run_state(run_events(spark, sf)))
     grain = ["customer_sk", "year_sk"]
-    return checks.combine([
+    return checks.report(spark, [
         *checks.run_checks(runs),
-        *checks.flow_checks(flow(spark, sf)),
         *checks.dim_checks("dim_customer", dim, "customer_sk", "o_custkey"),
         *checks.fact_checks("fact_sales", 1, per_year, dim, years, "customer_sk", grain),
         *checks.fact_checks("fact_lines", 2, lines, dim, years, "customer_sk", grain),
         checks.serving_check("vw_sales", 1, lines.where("customer_sk <> -1")),
         checks.serving_check("vw_nothing", 2, lines.where("year_sk = 1971")),
-    ]).select("check", "result", "detail")
+    ], flow(spark, sf)).select("check", "result", "detail")
 
 
 CHECKS = f"""{FACT.strip()}, {FLOW.strip()}, {RUNS.strip()},

@@ -23,7 +23,7 @@ def verify(pipe: Pipeline, views: dict[str, DataFrame] | None = None) -> DataFra
     """All checks as (check, result, detail), in the order of the layers."""
     lake, registry = pipe.lake, pipe.registry
     years = lake.read("gold", "dim_year")
-    parts = [*checks.run_checks(pipe.log.runs()), *checks.flow_checks(row_flow(pipe))]
+    parts = checks.run_checks(pipe.log.runs())
     for i, e in enumerate(registry.references):
         dim = lake.read("gold", f"dim_{e.name}")
         parts += checks.dim_checks(f"dim_{e.name}", dim, f"{e.name}_sk", e.keys[0], 30 + 2 * i)
@@ -32,9 +32,9 @@ def verify(pipe: Pipeline, views: dict[str, DataFrame] | None = None) -> DataFra
         sk = f"{ref.name}_sk"
         fact, dim = lake.read("gold", f"fact_{e.name}"), lake.read("gold", f"dim_{ref.name}")
         parts += checks.fact_checks(f"fact_{e.name}", i, fact, dim, years, sk, [sk, "year_sk"])
-    for i, (name, view) in enumerate((views or {}).items(), 1):
-        parts.append(checks.serving_check(name, i, view))
-    return checks.combine(parts).orderBy("ord", "sub", "check").select("check", "result", "detail")
+    parts += [checks.serving_check(n, i, v) for i, (n, v) in enumerate((views or {}).items(), 1)]
+    found = checks.report(lake.spark, parts, row_flow(pipe))
+    return found.orderBy("ord", "sub", "check").select("check", "result", "detail")
 
 
 def diagnose_fact(pipe: Pipeline, entity: str) -> dict[str, DataFrame]:
