@@ -142,12 +142,15 @@ def test_no_op_change_restatement_and_failure(mart, spark):
     assert lake.published() == before
     runs = {r["run_id"]: r for r in pipe.log.runs().collect()}
     assert [runs[f"r{i}"]["status"] for i in (1, 2, 3, 4)] == ["SUCCESS", "NO_OP", "SUCCESS", "FAILED"]
-    assert runs["r4"]["error_class"] == "QualityError" and runs["r3"]["batch_ids"] == ["a0", "b1"]
+    assert runs["r4"]["error_class"] == "QualityError" and runs["r3"]["batch_ids"] == ["a0"]
     health = pipe.log.health(pipe.registry.settings("prod"))
     assert health.first()["failing_rules"] == ["sal_code_not_null"]
     # no new file, but the failed load is still unsettled: it must not pass for a no-op
     with pytest.raises(QualityError):
         pipe.run("r5")
+    found = pipe.source_registry().where("entity = 'property'")
+    assert rows(found, "batch_id", "rows_written") == [("a0", 1), ("b1", 9)]
+    assert rows(pipe.trace("property"), "batch_id", "rows_written") == [("a0", 1)] + [("b1", 9)] * 8
     assert "vw_q1_population_growth" in suburbs.publish(lake)
     assert spark.table("vw_q1_population_growth").count() == 9
 

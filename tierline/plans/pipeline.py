@@ -10,6 +10,7 @@ import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -153,11 +154,10 @@ class Pipeline:
             publish += x.tables
 
         batches: set[str] = set()
-        for name, staged, n in self._each(self.registry.entities, self._sources):
-            publish.append(("metadata", f"source_registry_{name}", staged, n))
-            if taken[name].files:
-                named = self._open(staged).select("batch_id").distinct()
-                batches |= {r["batch_id"] for r in named.collect() if r["batch_id"]}
+        for name, t in taken.items():
+            if t.batches:
+                new = self.bronze(self.registry[name]).sources().where(F.col("batch").isin(*t.batches))
+                batches |= {r["batch_id"] for r in new.select("batch_id").distinct().collect() if r["batch_id"]}
         publish.append(("metadata", "generation", (self.generation, "{}"), 0))
         self.lake.publish_all(publish, run_id)
         written = sum(n for layer, _, _, n in publish if layer in ("silver", "gold"))
@@ -209,14 +209,15 @@ class Pipeline:
         load.tables.append(("gold", f"fact_{e.name}", staged, n))
         return load
 
-    def _sources(self, e: Entity):
-        bronze = self.bronze(e)
-        if "batch_id" not in bronze.columns():
-            return None
-        staged, _, n = self._stage(
-            runlog.source_registry(bronze.read(), e.name), "metadata", f"source_registry_{e.name}"
-        )
-        return e.name, staged, n
+    def source_registry(self) -> DataFrame:
+        """Rows every delivered batch brought to every entity."""
+        parts = [self.bronze(e).sources().drop("batch").withColumn("entity", F.lit(e.name)) for e in self.registry.entities]
+        return reduce(DataFrame.unionByName, parts)
+
+    def trace(self, entity: str) -> DataFrame:
+        """Fact rows with the batches they came from."""
+        mine = self.source_registry().where(F.col("entity") == entity)
+        return runlog.batch_trace(self.lake.read("gold", f"fact_{entity}"), mine.drop("source_system"))
 
     def run(self, run_id: str | None = None, trigger: str = "manual") -> RunResult:
         run_id = run_id or uuid.uuid4().hex

@@ -74,7 +74,7 @@ h AS (SELECT o_custkey, o_orderpriority, o_totalprice, start_at AS "__START_AT",
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     return lines.join(orders, "l_orderkey")
 
 
@@ -119,9 +119,7 @@ def _sums() -> list[Column]:
 
 
 def nation_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales per nation and year: the mart the reports read. Stored once, nations x years rows.
-
-    Lines are added up per version and year before any dimension is joined.
+    """Sales per nation and year; lines are added up per version and year before any dimension is joined.
     """
     dim = dimension(spark, sf_dir)
     per_version = sales_fact(spark, sf_dir, dim).groupBy("customer_sk", "year_sk").agg(*_sums())
@@ -132,7 +130,7 @@ def nation_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = [c for c in per_version.columns if c not in ("customer_sk", "year_sk")]
     n = rows.groupBy("nation_sk", "year_sk").agg(*[F.sum(c).alias(c) for c in sums])
     flags = [f.lower() for f in FLAGS]
-    out = n.select(
+    return n.select(
         "nation_sk",
         "year_sk",
         F.col("lines").cast("long").alias("lines"),
@@ -146,7 +144,6 @@ def nation_years(spark: SparkSession, sf_dir: str) -> DataFrame:
             for f in flags
         ],
     )
-    return materialize(spark, out)
 
 
 def _sql_flag(f: str) -> str:
@@ -172,12 +169,16 @@ s AS (SELECT n_nationkey, n_name, n_regionkey, r_name, year_sk AS year, n.*
 
 
 def nation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mart rows with nation, region label and year: what every report starts from."""
+    """Mart rows with nation, region label and year: what every report starts from.
+
+    Stored once (nations x years rows), as reports read it for their extremes as well.
+    """
     from tierline.plans.reports import labelled
 
     nation = table(spark, sf_dir, "nation").withColumn("nation_sk", F.col("n_nationkey"))
     region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    return labelled(
+    rows = labelled(
         nation_years(spark, sf_dir), nation, region, dim_year(spark), "nation_sk",
         ["n_nationkey", "n_name"], "n_regionkey", "r_name",
     )
+    return materialize(spark, rows)

@@ -227,7 +227,8 @@ def fact_upsert(spark, sf):
 def drill_across(spark, sf):
     """Sales, returns and orders side by side per version and year."""
     dim = dimension(spark, sf)
-    sales = sales_fact(spark, sf, dim)
+    # two of the three facts come from it
+    sales = materialize(spark, sales_fact(spark, sf, dim).select("customer_sk", "year_sk", "l_quantity", "l_returnflag"))
     orders = bind(spark, table(spark, sf, "orders"), dim, "o_orderdate")
     n = F.count(F.lit(1))
     rows = star.drill_across(

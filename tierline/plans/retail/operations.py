@@ -15,6 +15,7 @@ from tierline.plans.retail.base import FACT, dimension, query, sales_fact, table
 from tierline.plans.retail.quality import EVENT_RULES, FLOW, flow
 from tierline.registry import Settings
 from tierline.session import materialize
+from tierline.streaming import ingest
 
 
 
@@ -122,7 +123,7 @@ def _raw(spark, sf):
 @query("source_registry", """SELECT strftime(ts, '%Y-%m-%d') AS batch_id, event_type AS source_system, 'events' AS entity, count(*) AS rows_written,
   max(ts) AS generated_at FROM events GROUP BY ALL""")
 def source_registry(spark, sf):
-    return runlog.source_registry(_raw(spark, sf), "events")
+    return ingest.source_registry(_raw(spark, sf), "events")
 
 
 @query("batch_trace", """WITH g AS (SELECT strftime(ts, '%Y-%m-%d') AS batch_id, count(*) AS rows_written, max(ts) AS generated_at FROM events GROUP BY 1)
@@ -130,7 +131,7 @@ def source_registry(spark, sf):
 def batch_trace(spark, sf):
     """Each fact row with the batch that brought it."""
     raw = _raw(spark, sf)
-    registry = runlog.source_registry(raw, "events", ("batch_id",)).drop("entity")
+    registry = ingest.source_registry(raw, None, ("batch_id",))
     return runlog.batch_trace(raw.select("event_id", "value", "batch_id"), registry)
 
 

@@ -135,14 +135,6 @@ def alerts(health_rows: DataFrame, settings: Settings, now: Column) -> DataFrame
     )
 
 
-def source_registry(raw: DataFrame, entity: str, by: tuple[str, ...] = ("batch_id", "source_system")) -> DataFrame:
-    return (
-        raw.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("rows_written"), F.max("ingested_at").alias("generated_at"))
-        .withColumn("entity", F.lit(entity))
-    )
-
-
 def batch_trace(fact: DataFrame, registry: DataFrame) -> DataFrame:
     """Facts with the provenance of the batch that brought them."""
     return fact.join(registry, "batch_id")

@@ -35,7 +35,21 @@ COLUMNS = T.StructType(
         T.StructField("name", T.StringType()),
     ]
 )
-STAMPS = ("ingested_at", "source_file", "source_modified_at")
+SOURCES = T.StructType(
+    [
+        T.StructField("batch", T.LongType()),
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("source_system", T.StringType()),
+        T.StructField("rows_written", T.LongType()),
+        T.StructField("generated_at", T.TimestampType()),
+    ]
+)
+
+
+def source_registry(raw: DataFrame, entity: str | None, by: tuple[str, ...] = ("batch_id", "source_system")) -> DataFrame:
+    """Provenance: what each batch brought, and when it arrived."""
+    found = raw.groupBy(*by).agg(F.count(F.lit(1)).alias("rows_written"), F.max("ingested_at").alias("generated_at"))
+    return found.withColumn("entity", F.lit(entity)) if entity else found
 
 
 @dataclass(frozen=True)
@@ -57,6 +71,14 @@ class Bronze:
     def checkpoint(self) -> str:
         return f"{self.path}/checkpoint"
 
+    @property
+    def sources_path(self) -> str:
+        return f"{self.path}/sources"
+
+    def sources(self) -> DataFrame:
+        """Rows per delivered batch, as counted when its files were taken."""
+        return read_or_create(self.spark, self.sources_path, SOURCES, partition_by=("batch",))
+
     def columns(self) -> list[str]:
         """Every column any batch brought, oldest first."""
         seen = read_or_create(self.spark, self.columns_path, COLUMNS, "json", ("batch",))
@@ -86,13 +108,14 @@ class Bronze:
 class Ingested:
     files: int
     rows: int
+    batches: tuple[int, ...] = ()
 
 
 def ingest(spark: SparkSession, landing: str, bronze: Bronze, files_per_batch: int = FILES_PER_BATCH,
            multiline: bool = False) -> Ingested:
     """Take all files not taken yet, then stop. Returns what was new: nothing means no-op."""
 
-    taken: list[tuple[int, int]] = []
+    taken: list[tuple[int, int, int]] = []
 
     def take(files: DataFrame, batch_id: int) -> None:
         # at most files_per_batch short rows
@@ -103,6 +126,8 @@ def ingest(spark: SparkSession, landing: str, bronze: Bronze, files_per_batch: i
         names = headers(spark, paths)
         for path, header in names.items():
             by_header.setdefault(header, []).append(path)
+        if not by_header:
+            return
         rows = read_by_header(spark, by_header, multiline).withColumn("ingested_at", F.current_timestamp())
         counted = Observation()
         rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
@@ -112,7 +137,12 @@ def ingest(spark: SparkSession, landing: str, bronze: Bronze, files_per_batch: i
         new = list(dict.fromkeys(c for p in sorted(names) for c in names[p]))
         listed = spark.createDataFrame([(batch_id, i, c) for i, c in enumerate(new)], COLUMNS).drop("batch")
         listed.coalesce(1).write.mode("overwrite").json(f"{bronze.columns_path}/batch={batch_id}")
-        taken.append((len(paths), counted.get["n"]))
+
+        if {"batch_id", "source_system"} <= set(new):
+            brought = spark.read.parquet(f"{bronze.data}/_batch={batch_id}")
+            found = source_registry(brought, None).coalesce(1)
+            found.write.mode("overwrite").parquet(f"{bronze.sources_path}/batch={batch_id}")
+        taken.append((batch_id, len(paths), counted.get["n"]))
 
     query = (
         spark.readStream.format("binaryFile")
@@ -128,4 +158,4 @@ def ingest(spark: SparkSession, landing: str, bronze: Bronze, files_per_batch: i
         .start()
     )
     query.awaitTermination()
-    return Ingested(sum(f for f, _ in taken), sum(r for _, r in taken))
+    return Ingested(sum(f for _, f, _ in taken), sum(r for _, _, r in taken), tuple(b for b, _, _ in taken))
