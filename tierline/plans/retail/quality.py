@@ -94,7 +94,7 @@ def dq_unique(spark, sf):
     ])
 
 
-@query("dq_row_count_min", """SELECT 'any_rows' AS rule_name, 'FATAL' AS severity, count(*) AS rows_evaluated, 0 AS violations, 'PASS' AS result FROM lineitem
+@query("dq_row_count_min", """SELECT 'any_rows' AS rule_name, 'FATAL' AS severity, count(*) AS rows_evaluated, 0::BIGINT AS violations, 'PASS' AS result FROM lineitem
   UNION ALL SELECT 'huge', 'FATAL', count(*), 1, 'FAIL' FROM lineitem""")
 def dq_row_count_min(spark, sf):
     rules = [Rule("any_rows", "row_count_min", "FATAL", min=1), Rule("huge", "row_count_min", "FATAL", min=10**15)]
