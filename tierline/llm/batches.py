@@ -95,10 +95,19 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def sorted_set(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def distinct_words(data, starts, ends):
     """Index of one example of each different word, and for every word the number of its example."""
-    _, first, inverse = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
-    return first, inverse
+    h = hashes(data, starts, ends)
+    order = np.argsort(h)
+    new = np.append(True, h[order][1:] != h[order][:-1]) if len(h) else np.zeros(0, bool)
+    inverse = np.empty(len(h), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return order[new], inverse
 
 
 def column_of(name: str, columns: list[str]) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import packing, quality, similarity, warc
+from tierline.llm import decontamination, html, language, maxent, packing, pii, quality, similarity, toxicity, warc
 from tierline.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,43 @@ def op1(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op2_html_extraction")
+def op2(spark, sf_dir):
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op3_lm_scoring")
+def op3(spark, sf_dir):
+    """Every document's log10 probability under the model of the training documents, and under the unigram base."""
+    return maxent.score(table(spark, sf_dir, "documents"), fold("doc_id", 5) == 1)
+
+
+@query("op4_pii")
+def op4(spark, sf_dir):
+    """Base spans, counted and digested, and all spans of every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    n = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in pii.KINDS}
+    return found.select("doc_id", *(v.alias(k) for k, v in n.items()), F.sha2(pii.written(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
+                        pii.written(F.concat("spans", "extra")).alias("spans"), F.size("extra").alias("n_added"))
+
+
+@query("op5_decontamination")
+def op5(spark, sf_dir):
+    """The benchmark items that each document contains."""
+    found = decontamination.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", (F.size("item_ids") > 0).alias("contaminated"), "item_ids")
+
+
+@query("op6_language_id")
+def op6(spark, sf_dir):
+    """Every document's language, learned from four fifths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    found = language.identify(docs.select("doc_id", "text"), docs.filter(~held_out).select("doc_id", "text", "lang"))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 @query("op7_ngram_jaccard_join")
 def op7(spark, sf_dir):
     """Each document's near-duplicate class and the number of different texts that its text is linked to."""
@@ -90,3 +127,11 @@ def op9(spark, sf_dir):
     ordered = [r for r, _, _ in quality.order_rules(table(spark, sf_dir, "documents"), further)]
     kept = F.when(F.col("base_failed"), False).otherwise(quality.cascade(ordered).isNull())
     return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    """Every document's toxicity, learned from three quarters of the labels."""
+    labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2)
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))

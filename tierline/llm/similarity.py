@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.batches import blocks, hashes, mix, words
+from tierline.llm.batches import blocks, hashes, mix, sorted_set, words
 from tierline.session import materialize
 
 WORDS, SIMILARITY, TREES, DEPTH, TARGET_RECALL = 5, 0.8, 16, 6, 0.999
@@ -104,7 +104,7 @@ def gram_sets(n: int):
         for batch in batches:
             for i, j, data, offsets in blocks(batch.column("text")):
                 grams, begins = shingles(data, offsets, n)
-                sets = [np.unique(grams[a:b]).tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
+                sets = [sorted_set(grams[a:b]).tobytes() for a, b in zip(begins[:-1], begins[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("digest")[i:j], pa.array(sets, pa.binary())], ["digest", "grams"])
 
     return run
@@ -120,7 +120,8 @@ def verified(least: float, trees: int, depth: int, k: int):
         sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u4").reshape(len(digests), trees, depth)[:, :, :k]
         sets = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
         sizes = np.array([len(s) for s in sets], np.int64)
-        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        flat = np.concatenate(sets)
+        flat = np.searchsorted(sorted_set(flat), flat)
         begins = np.cumsum(sizes) - sizes
         mark = np.zeros(int(flat.max()) + 1, np.int64)
         links, label, out = np.zeros(len(sets), np.int64), np.arange(len(sets)), []
