@@ -59,8 +59,11 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     """Base spans, counted and digested, and all spans of every document."""
     found = pii.find(table(spark, sf_dir, "documents"))
-    n = {f"n_{k}": F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long") for k in pii.KINDS}
-    return found.select("doc_id", *(v.alias(k) for k, v in n.items()), F.sha2(pii.written(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *(count(k) for k in pii.KINDS), F.sha2(pii.written(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
                         pii.written(F.concat("spans", "extra")).alias("spans"), F.size("extra").alias("n_added"))
 
 
