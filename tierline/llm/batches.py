@@ -23,6 +23,9 @@ LOWER[65:91] += 32
 PLAIN = LOWER.copy()
 PLAIN[[i for i in range(128) if not chr(i).isalnum()]] = 0x20
 
+#: ASCII signs: neither letter nor digit nor white space.
+SIGN = np.array([i < 128 and not chr(i).isalnum() and not WHITE[i] for i in range(256)])
+
 #: Bytes of text taken through numpy at once. A longer text is taken alone.
 BLOCK_BYTES = 2 << 20
 
@@ -66,8 +69,11 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray, longest: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and the number of its text. `longest` cuts longer words into pieces."""
+def words(data: np.ndarray, offsets: np.ndarray, longest: int | None = None, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and the number of its text.
+
+    `longest` cuts longer words into pieces; `cut` marks bytes at which a new piece begins inside a word.
+    """
     n = len(data)
     if not n:
         return (np.zeros(0, np.int64),) * 3
@@ -76,8 +82,10 @@ def words(data: np.ndarray, offsets: np.ndarray, longest: int | None = None) ->
     begins[offsets] = True
     start = solid.copy()
     start[1:] &= ~solid[:-1] | begins[1:n]
+    if cut is not None:
+        start |= cut & solid
     end = solid
-    end[:-1] &= ~solid[1:] | begins[1:n]
+    end[:-1] &= ~solid[1:] | start[1:]
     starts, ends = np.flatnonzero(start), np.flatnonzero(end) + 1
     if longest is not None and len(starts) and (ends - starts).max() > longest:
         pieces = -(-(ends - starts) // longest)
@@ -101,13 +109,14 @@ def sorted_set(x: np.ndarray) -> np.ndarray:
 
 
 def distinct_words(data, starts, ends):
-    """Index of one example of each different word, and for every word the number of its example."""
+    """Index of one example of each different word, for every word the number of its example, and the examples' hashes (sorted)."""
     h = hashes(data, starts, ends)
     order = np.argsort(h)
-    new = np.append(True, h[order][1:] != h[order][:-1]) if len(h) else np.zeros(0, bool)
+    ordered = h[order]
+    new = np.append(True, ordered[1:] != ordered[:-1]) if len(h) else np.zeros(0, bool)
     inverse = np.empty(len(h), np.int64)
     inverse[order] = np.cumsum(new) - 1
-    return order[new], inverse
+    return order[new], inverse, ordered[new]
 
 
 def column_of(name: str, columns: list[str]) -> str:

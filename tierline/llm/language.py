@@ -129,7 +129,7 @@ def words_of(batches):
         langs = batch.column("lang").to_pylist()
         for i, j, data, offsets in blocks(batch.column("text")):
             starts, ends, text = words(data, offsets, LONGEST)
-            first, inverse = distinct_words(data, starts, ends)
+            first, inverse, _ = distinct_words(data, starts, ends)
             number = {x: k for k, x in enumerate(sorted(set(langs[i:j])))}
             code = inverse * len(number) + np.array([number[x] for x in langs[i:j]])[text]
             count = np.bincount(code, minlength=len(first) * len(number))
@@ -175,7 +175,7 @@ def labelled(langs: list[str], net: dict, name: str, letters: str, into: tuple[s
                 pooled = np.zeros((n, len(langs)))
                 if len(langs):
                     starts, ends, text = words(data, offsets, LONGEST)
-                    first, inverse = distinct_words(data, starts, ends)
+                    first, inverse, _ = distinct_words(data, starts, ends)
                     begin, size = starts[first], (ends - starts)[first]
                     sums = np.zeros((len(first), len(langs)), np.float32)
                     for length in np.flatnonzero(np.bincount(size, minlength=1)).tolist():

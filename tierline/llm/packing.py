@@ -14,6 +14,7 @@ empty table gives an empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 
@@ -23,34 +24,62 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.batches import blocks, distinct_words, words
+from tierline.llm.batches import LOWER, SIGN, blocks, distinct_words, words
 from tierline.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
 #: Words whose ids a task remembers; then it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 2_000_000
+SPECIAL = re.compile(rb"<\|[a-z]+\|>")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
-def token_ids(tokenizer, memory: dict, data: np.ndarray, offsets: np.ndarray, close: int) -> tuple[np.ndarray, np.ndarray]:
+class Memory:
+    """Ids of the words that a task has met, by word hash: sorted hashes, and each word's place in a pool of ids."""
+
+    def __init__(self):
+        self.hash, self.at, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the hashes, and which of them are known."""
+        if not len(self.hash):
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        row = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+        return row, self.hash[row] == h
+
+    def add(self, h: np.ndarray, ids: list[np.ndarray]) -> None:
+        size = np.array([len(x) for x in ids], np.int64)
+        at = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, *ids])
+        merged = np.concatenate([self.hash, h])
+        order = np.argsort(merged, kind="stable")
+        self.hash, self.at, self.size = merged[order], np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
+
+
+def token_ids(tokenizer, memory: Memory, data: np.ndarray, offsets: np.ndarray, close: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts, each closed by `close`, and where each text's ids begin.
 
-    The tokenizer splits at white space before it merges, so equal words have equal ids wherever they stand.
+    The tokenizer folds case and splits at white space and before signs until it merges, so equal pieces have equal
+    ids wherever they stand. Where a text spells one of its special tokens, words are left as they are.
     """
-    starts, ends, text = words(data, offsets)
-    first, inverse = distinct_words(data, starts, ends)
-    keys = [data[s:e].tobytes() for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-    if len(memory) > REMEMBERED:
-        memory.clear()
-    if new := [k for k in keys if k not in memory]:
-        for k, x in zip(new, tokenizer.encode_batch_fast([k.decode("utf-8", "replace") for k in new], add_special_tokens=False), strict=True):
-            memory[k] = np.array(x.ids, np.uint32)
-    found = [memory[k] for k in keys]
-    sizes = np.array([len(x) for x in found], np.int64)
-    pool = np.concatenate([*found, np.array([close], np.uint32)])
-    at = np.cumsum(sizes) - sizes
+    folded = LOWER[data]
+    if SPECIAL.search(folded.tobytes()):
+        starts, ends, text = words(data, offsets)
+    else:
+        data, sign = folded, SIGN[folded]
+        starts, ends, text = words(data, offsets, cut=np.append(False, sign[1:] & ~sign[:-1])[: len(data)])
+    first, inverse, h = distinct_words(data, starts, ends)
+    if not memory.look(h)[1].all():
+        if len(memory.hash) > REMEMBERED:
+            memory.__init__()
+        new = np.flatnonzero(~memory.look(h)[1])
+        cut_out = [data[s:e].tobytes().decode("utf-8", "replace") for s, e in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+        memory.add(h[new], [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(cut_out, add_special_tokens=False)])
+    row = memory.look(h)[0]
+    at, sizes = memory.at[row], memory.size[row]
+    pool = np.append(memory.pool, np.uint32(close))
     # the words of each text, then one closing entry
     n = len(offsets) - 1
     per_text = np.bincount(text, minlength=n)
@@ -78,7 +107,7 @@ def cut(tokenizer_path: str | None, capacity: int, close: int):
             tokenizer = Tokenizer.from_file(str(public_tokenizers.path(TOKENIZER)))
         else:
             tokenizer = Tokenizer.from_file(tokenizer_path)
-        memory: dict[bytes, np.ndarray] = {}
+        memory = Memory()
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             docs = batch.column(0).to_pylist()
@@ -117,9 +146,11 @@ def exact(left: np.ndarray, gap: int) -> list[int] | None:
         return None
     if found := pair(gap):
         return found
-    for a in (np.flatnonzero(left[: max(0, gap - 1)] > 0)[::-1]).tolist():
-        if not a:
-            break
+    there = (left > 0).astype(np.int64)
+    there[0] = 0
+    sums = np.convolve(there[:gap], there[:gap]) > 0  # which pair sums there are, without regard to counts
+    longest = np.arange(gap - 2, 0, -1)
+    for a in longest[(there[longest] > 0) & sums[gap - longest]].tolist():
         left[a] -= 1
         found = pair(gap - a) if gap - a >= 2 else None
         left[a] += 1
