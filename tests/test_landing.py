@@ -75,3 +75,35 @@ def test_publication_is_all_or_nothing_and_versioned(spark, tmp_path):
     lake.publish_all([("gold", "t", lake.stage(two, "gold", "t"), 5), ("gold", "u", lake.stage(one, "gold", "u"), 3)], "r2")
     assert lake.read("gold", "t").count() == 5 and lake.read("gold", "u").count() == 3
     assert lake.published()["gold", "t"].version == 2
+
+
+def test_every_visible_file_is_taken_whatever_its_name(spark, tmp_path):
+    from tierline.streaming.ingest import Bronze, ingest
+
+    landing = tmp_path / "in"
+    landing.mkdir()
+    for name in ("a.CSV", "b.txt", "c.csv", "d"):
+        (landing / name).write_text(f"k,v\n{name},1\n")
+    bronze = Bronze(spark, str(tmp_path / "bronze"))
+    assert ingest(spark, str(landing), bronze).files == 4
+    assert {r["k"] for r in bronze.read().collect()} == {"a.CSV", "b.txt", "c.csv", "d"}
+    only = Bronze(spark, str(tmp_path / "only"))
+    assert ingest(spark, str(landing), only, only_names="*.csv").files == 1
+
+
+def test_a_null_segment_is_not_lost(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tierline.plans import retail
+
+    real = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    holes = real.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 10 != 0, F.col("c_mktsegment")))
+    holes.write.parquet(str(tmp_path / "customer.parquet"))
+    assert retail.QUERIES["bronze_schema_evolution"](spark, str(tmp_path)).count() == real.count()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from tierline.session import on_one_machine
+
+    assert on_one_machine("local") and on_one_machine("local[8]")
+    assert not any(on_one_machine(m) for m in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077", "k8s://https://host"))

@@ -21,6 +21,13 @@ from tierline.session import build_session
 from tierline.sources.lake import Lake
 
 
+def show_all(rows) -> None:
+    """Print every row, one partition at the driver at a time."""
+    print(" | ".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print(" | ".join("" if x is None else str(x) for x in row))
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tierline", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     ap.add_argument("command", choices=["run", "refresh", "verify", "health"])
@@ -29,9 +36,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--config", help="registry file or folder; by default the packaged suburb mart")
     ap.add_argument("--env", default="dev")
     ap.add_argument("--run-id")
+    ap.add_argument("--runs", type=int, default=50, help="health: how many of the newest runs to list (alerts are always all listed)")
     args = ap.parse_args(argv)
 
-    spark = build_session()
+    spark = build_session(**{"spark.checkpoint.dir": f"{args.lake.rstrip('/')}/_work"})
     pipe = Pipeline(Lake(spark, args.lake), registry.load(args.config), args.landing, args.env)
     if args.command in ("run", "refresh"):
         trigger = "manual" if args.env == "dev" else "scheduled"
@@ -39,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"run_id={done.run_id} status={done.status} rows_read={done.rows_read} rows_written={done.rows_written}")
     elif args.command == "verify":
         found = verification.verify(pipe).cache()
-        found.show(200, False)
+        show_all(found)
         try:
             require_clean(found)
         except VerificationError as exc:
@@ -48,8 +56,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         settings = pipe.registry.settings(args.env)
         rows = pipe.log.health(settings)
-        rows.show(50, False)
-        runlog.alerts(rows, settings, F.current_timestamp()).show(50, False)
+        rows.show(args.runs, False)
+        show_all(runlog.alerts(rows, settings, F.current_timestamp()))
     return 0
 
 

@@ -13,7 +13,7 @@ def predicate(rule: Rule) -> Column:
     if rule.type == "cross_field":
         return F.expr(rule.expr)
     if not rule.row_level:
-        raise ValueError(f"Rule type {rule.type!r} is not row-level")
+        raise ValueError(f"{rule.type!r} rules judge whole batches, not rows")
     c = F.col(rule.column)
     if rule.type == "not_null":
         return c.isNotNull()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierline.functions.columns import exact_round, hundredths, ratio, scaled
 from tierline.operators import history as hist
 from tierline.operators.star import build_fact, dim_year, star_rows
-from tierline.session import materialize, spread, tune
+from tierline.session import materialize, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,7 +74,7 @@ h AS (SELECT o_custkey, o_orderpriority, o_totalprice, start_at AS "__START_AT",
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
     return lines.join(orders, "l_orderkey")
 
 

@@ -58,7 +58,8 @@ def bronze_schema_evolution(spark, sf):
     c = table(spark, sf, "customer")
     k, v, seg = F.col("c_custkey").alias("k"), F.col("c_name").alias("v"), F.col("c_mktsegment")
     path, bronze = work_dir(spark, "evolving"), Bronze(spark, work_dir(spark, "evolving-bronze"))
-    old, mid = seg == "BUILDING", seg.isin("MACHINERY", "FURNITURE")
+    # a NULL segment belongs to the last part
+    old, mid = (F.coalesce(x, F.lit(False)) for x in (seg == "BUILDING", seg.isin("MACHINERY", "FURNITURE")))
     for i, part in enumerate((
         c.where(old).select(k, v),
         c.where(mid).select(k, v, seg.alias("extra")),

@@ -42,11 +42,17 @@ def rows_per_task(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_PER_TASK_CONF, str(ROWS_PER_TASK)))
 
 
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The cluster's shared checkpoint folder. A temporary one is made on a local master only; elsewhere it must be named."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if named is None and not on_one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tierline-"))
         current = spark.sparkContext.getCheckpointDir()
     return named or current
@@ -57,15 +63,6 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Use all cores where the input has fewer splits than there are cores.
-
-    Large inputs have far more splits than cores and are left as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Compute once into a table in the shared folder and go on from there.
 

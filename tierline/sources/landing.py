@@ -14,7 +14,7 @@ SOURCE_SYSTEMS = ("SYNTHETIC",)
 
 def validate_source_system(name: str) -> str:
     if name not in SOURCE_SYSTEMS:
-        raise ValueError(f"source_system {name!r} not in {sorted(SOURCE_SYSTEMS)}")
+        raise ValueError(f"no load may come from {name!r}; known sources: {', '.join(SOURCE_SYSTEMS)}")
     return name
 
 

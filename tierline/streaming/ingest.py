@@ -112,8 +112,11 @@ class Ingested:
 
 
 def ingest(spark: SparkSession, landing: str, bronze: Bronze, files_per_batch: int = FILES_PER_BATCH,
-           multiline: bool = False) -> Ingested:
-    """Take all files not taken yet, then stop. Returns what was new: nothing means no-op."""
+           multiline: bool = False, only_names: str | None = None) -> Ingested:
+    """Take all files not taken yet, then stop. Returns what was new: nothing means no-op.
+
+    Every visible file counts, whatever its name; ``only_names`` is a glob for folders that hold other files too.
+    """
 
     taken: list[tuple[int, int, int]] = []
 
@@ -144,12 +147,14 @@ def ingest(spark: SparkSession, landing: str, bronze: Bronze, files_per_batch: i
             found.write.mode("overwrite").parquet(f"{bronze.sources_path}/batch={batch_id}")
         taken.append((batch_id, len(paths), counted.get["n"]))
 
+    files = spark.readStream.format("binaryFile")
+    if only_names:
+        files = files.option("pathGlobFilter", only_names)
     query = (
-        spark.readStream.format("binaryFile")
+        files
         .schema(FILES)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv*")
         .load(landing)
         .select("path", "modificationTime")
         .writeStream.foreachBatch(take)
