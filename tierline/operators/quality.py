@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierline.functions.rules import all_pass, failed_names, passes
-from tierline.registry import Rule, escalation_rules, rules_of
+from tierline.registry import Rule, batch_rules, cast_plan, escalation_rules, rules_of
 
 
 class QualityError(RuntimeError):
@@ -47,6 +47,50 @@ def rule_results(df: DataFrame, rules: list[Rule], by: list[str] = ()) -> DataFr
     )
 
 
+def marked(df: DataFrame, rules) -> DataFrame:
+    """``df`` with ``failed_rules``: the names of all row-level rules a row violates."""
+    return df.withColumn("failed_rules", failed_names([r for r in rules if r.row_level]))
+
+
+def marked_counts(df: DataFrame, rules) -> dict[str, int]:
+    """Rows and violations of a marked table, batch rules included: duplicated keys of a ``unique``
+    rule, 1 for a table shorter than ``row_count_min``."""
+    rows = [F.count_if(F.array_contains("failed_rules", r.name)).alias(f"failed__{r.name}") for r in rules if r.row_level]
+    counts = df.agg(F.count(F.lit(1)).alias("n"), *rows).first().asDict()
+    for r in batch_rules(rules):
+        short = r.type == "row_count_min"
+        counts[f"failed__{r.name}"] = int(counts["n"] < r.min) if short else duplicates(df, list(r.columns)).count()
+    return counts
+
+
+def results_by_batch(df: DataFrame, rules, columns) -> DataFrame:
+    """Per delivered batch: results of the row-level rules of a marked table, and of each column with
+    values lost in typing (``failed_casts``). Reads the batch and the two lists of names only."""
+    found = [(r.name, r.severity, "failed_rules") for r in rules if r.row_level]
+    found += [(f"cast_failed__{c}", "WARN", "failed_casts") for c, t in cast_plan(columns) if t != "string"]
+    batch = F.col("batch_id") if "batch_id" in df.columns else F.lit(None).cast("string")
+    counted = df.groupBy(batch.alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("rows_evaluated"),
+        F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("rule_name"),
+                    F.lit(severity).alias("severity"),
+                    F.count_if(F.array_contains(where, name)).alias("rows_failed"),
+                    F.lit(where == "failed_rules").alias("always"),
+                )
+                for name, severity, where in found
+            ]
+        ).alias("results"),
+    )
+    long = counted.select("batch_id", "rows_evaluated", F.inline("results")).where("always OR rows_failed > 0")
+    passed = F.col("rows_evaluated") - F.col("rows_failed")
+    return long.select(
+        "batch_id", "rule_name", "severity", "rows_evaluated", passed.alias("rows_passed"), "rows_failed",
+        (passed / F.col("rows_evaluated")).alias("pass_rate"),
+    )
+
+
 def keep_valid(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Rows that pass every WARN rule."""
     return df.where(all_pass(rules_of(rules, "WARN")))
@@ -79,11 +123,13 @@ def breaches(counts: dict[str, int], rules: list[Rule]) -> list[Breach]:
             if r.severity == "FATAL" and n < r.min:
                 out.append(Breach(r.name, f"{n} rows, at least {r.min} expected"))
         elif r.severity == "FATAL" and failed:
-            out.append(Breach(r.name, f"{failed} of {n} rows violate it"))
+            out.append(Breach(r.name, "duplicated keys" if r.type == "unique" else f"{failed} of {n} rows violate it"))
     for r in escalation_rules(rules):
         failed = counts.get(f"failed__{r.name}") or 0
-        if n and 100.0 * failed / n > r.fail_if_violation_pct_above:
-            out.append(Breach(r.name, f"{failed} of {n} rows, above {r.fail_if_violation_pct_above} %"))
+        # a table is long enough or it is not: that rule has one thing to judge
+        of = 1 if r.type == "row_count_min" else n
+        if of and 100.0 * failed / of > r.fail_if_violation_pct_above:
+            out.append(Breach(r.name, f"{failed} of {of} rows, above {r.fail_if_violation_pct_above} %"))
     return out
 
 

@@ -36,6 +36,18 @@ def cast_failures(df: DataFrame, columns) -> list[Column]:
     ]
 
 
+def failed_casts(columns) -> Column:
+    """For each row the names ``cast_failed__<column>`` of the values that typing would lose."""
+    lost = [
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(f"cast_failed__{c}"))
+        for c, t in cast_plan(columns)
+        if t != "string"
+    ]
+    if not lost:
+        return F.array().cast("array<string>")
+    return F.filter(F.array(*lost), lambda x: x.isNotNull())
+
+
 def dedup_latest(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """One row per key: the greatest by ``order``, first column first. NULL keys form one group.
 

@@ -16,15 +16,15 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.functions.columns import period_date
-from tierline.functions.rules import all_pass
+from tierline.functions.columns import LINEAGE, period_date
 from tierline.operators import quality
 from tierline.operators.history import with_surrogate_key
-from tierline.operators.shaping import dedup_latest, typed_select
+from tierline.operators.shaping import dedup_latest, failed_casts, typed_select
 from tierline.operators.star import build_fact, dim_year
 from tierline.plans import runlog
 from tierline.plans.runlog import RunLog
 from tierline.registry import Entity, Registry, rules_of
+from tierline.session import materialize
 from tierline.sources.lake import Lake
 from tierline.streaming.changes import HistoryTable, change_feed
 from tierline.streaming.ingest import Bronze, Ingested, ingest
@@ -48,6 +48,7 @@ class Load:
     entity: Entity
     counts: dict[str, int]
     failures: list[str]
+    results: DataFrame
     tables: list[tuple] = field(default_factory=list)
 
 
@@ -98,7 +99,10 @@ class Pipeline:
         """Newest row of each grain, typed. A restating file beats a base file of its ingest."""
         restates = F.col("source_file").rlike(RESTATEMENT)
         order = [F.col("ingested_at"), restates, F.col("source_modified_at"), F.col("source_file")]
-        return typed_select(dedup_latest(raw, list(e.grain), order), e.columns)
+        # rows of one file tie: the greatest values win, so every computation picks the same row
+        ties = [F.col(c) for c in dict.fromkeys((*e.column_names, *LINEAGE)) if c in raw.columns]
+        newest = dedup_latest(raw, list(e.grain), [*order, *ties])
+        return typed_select(newest.withColumn("failed_casts", failed_casts(e.columns)), e.columns, extra=("failed_casts",))
 
     def fact(self, e: Entity, measures: DataFrame, dims: dict[str, DataFrame], years: DataFrame) -> DataFrame:
         dim, key = self.registry.dimension_of(e)
@@ -111,14 +115,17 @@ class Pipeline:
 
     # ---- one run ----------------------------------------------------------------------------
 
-    def _stage(self, df: DataFrame, layer: str, table: str, metrics=(), keep=None, partition_by=()):
-        """Write a table aside; counts are observed during the write, before ``keep`` drops rows."""
-        before, after = Observation(), Observation()
-        out = df.observe(before, F.count(F.lit(1)).alias("n"), *metrics)
-        out = out.where(keep) if keep is not None else out
-        out = out.observe(after, F.count(F.lit(1)).alias("n"))
-        staged = self.lake.stage(out, layer, table, partition_by)
-        return staged, before.get, after.get["n"]
+    def _stage(self, df: DataFrame, layer: str, table: str, partition_by=()):
+        """Write a table aside; its rows are counted during the write."""
+        seen = Observation()
+        staged = self.lake.stage(df.observe(seen, F.count(F.lit(1)).alias("n")), layer, table, partition_by)
+        return staged, seen.get["n"]
+
+    def _pending(self, e: Entity, last) -> tuple[str, tuple[int, int, list[str]]]:
+        """What an entity's files brought since the run that published last, failed runs included."""
+        generation, _, batch = last.path.rpartition("/") if last else ("", "", "")
+        bronze, after = self.bronze(e), int(batch) if generation == self.generation else -1
+        return e.name, bronze.since(after) if bronze.columns() else (0, after, [])
 
     def _open(self, staged) -> DataFrame:
         return self.spark.read.schema(T.StructType.fromJson(json.loads(staged[1]))).parquet(staged[0])
@@ -129,23 +136,29 @@ class Pipeline:
         status = before.agg(F.max_by("status", "started_at")).first()[0]
         return status in (None, runlog.SUCCESS, runlog.NO_OP)
 
-    def _load(self, run_id: str) -> tuple[str, int, int, list[str]]:
+    def _load(self, run_id: str, read: dict) -> tuple[str, int]:
+        """Status and rows written; ``read`` takes what was read, also of a run that fails."""
         taken = dict(self._each(self.registry.entities, self._ingest))
         self.log.record_flows(run_id, {f"raw_{name}": t.rows for name, t in taken.items()})
         if not any(t.files for t in taken.values()) and self._settled(run_id):
-            return runlog.NO_OP, 0, 0, []
+            return runlog.NO_OP, 0
+
+        last = self.lake.published()
+        pending = dict(self._each(self.registry.entities, lambda e: self._pending(e, last.get(("metadata", f"taken_{e.name}")))))
+        read["rows"] = sum(n for n, _, _ in pending.values())
+        read["batches"] = sorted({b for _, _, ids in pending.values() for b in ids})
 
         publish: list[tuple] = []
         dims: dict[str, DataFrame] = {}
         for name, staged, n in self._each(self.registry.references, self._dimension):
             dims[name] = self._open(staged)
             publish.append(("gold", f"dim_{name}", staged, n))
-        staged, _, n = self._stage(dim_year(self.spark), "gold", "dim_year")
+        staged, n = self._stage(dim_year(self.spark), "gold", "dim_year")
         years = self._open(staged)
         publish.append(("gold", "dim_year", staged, n))
 
         loads = self._each(self.registry.measures, lambda e: self._measure(e, dims, years))
-        self.log.record_quality(run_id, [(x.entity, x.counts) for x in loads])
+        self.log.record_quality(run_id, [(x.entity, x.counts, x.results) for x in loads])
         self.log.record_flows(run_id, {t: n for x in loads for _, t, _, n in x.tables})
         failures = [f for x in loads for f in x.failures]
         if failures:
@@ -153,15 +166,12 @@ class Pipeline:
         for x in loads:
             publish += x.tables
 
-        batches: set[str] = set()
-        for name, t in taken.items():
-            if t.batches:
-                new = self.bronze(self.registry[name]).sources().where(F.col("batch").isin(*t.batches))
-                batches |= {r["batch_id"] for r in new.select("batch_id").distinct().collect() if r["batch_id"]}
         publish.append(("metadata", "generation", (self.generation, "{}"), 0))
+        for name, (n, batch, _) in pending.items():
+            publish.append(("metadata", f"taken_{name}", (f"{self.generation}/{batch}", "{}"), n))
         self.lake.publish_all(publish, run_id)
         written = sum(n for layer, _, _, n in publish if layer in ("silver", "gold"))
-        return runlog.SUCCESS, sum(t.rows for t in taken.values()), written, sorted(batches)
+        return runlog.SUCCESS, written
 
     # ---- one entity -------------------------------------------------------------------------
 
@@ -179,56 +189,57 @@ class Pipeline:
             return None
         history.run(change_feed_of(bronze.read_stream(), e))
         dim = with_surrogate_key(history.read(), list(e.keys), f"{e.name}_sk")
-        staged, _, n = self._stage(dim, "gold", f"dim_{e.name}")
+        staged, n = self._stage(dim, "gold", f"dim_{e.name}")
         return e.name, staged, n
 
     def _measure(self, e: Entity, dims: dict[str, DataFrame], years: DataFrame) -> Load | None:
         bronze = self.bronze(e)
         if not bronze.columns():
             return None
-        typed, warn = self.silver(e, bronze.read()), rules_of(e.rules, "WARN")
-        staged, counts, n = self._stage(
-            typed, "silver", e.name, quality.rule_counts(e.rules), all_pass(warn) if warn else None
-        )
-        load = Load(e, counts, [f"{e.name}.{b.rule}: {b.detail}" for b in quality.breaches(counts, e.rules)])
-        for r in e.rules:
-            if r.type == "unique" and r.severity == "FATAL":
-                if not quality.duplicates(typed, list(r.columns)).isEmpty():
-                    load.failures.append(f"{e.name}.{r.name}: duplicated keys")
-        load.tables.append(("silver", e.name, staged, n))
-        if load.failures:
+        # judged once, then read: silver, quarantine and all counts see the same rows
+        checked = materialize(self.spark, quality.marked(self.silver(e, bronze.read()), e.rules))
+        counts = quality.marked_counts(checked, e.rules)
+        failures = [f"{e.name}.{b.rule}: {b.detail}" for b in quality.breaches(counts, e.rules)]
+        load = Load(e, counts, failures, quality.results_by_batch(checked, e.rules, e.columns))
+        if failures:
             return load
+        warn = F.array(*[F.lit(r.name) for r in rules_of(e.rules, "WARN")]).cast("array<string>")
+        drops = F.array_intersect("failed_rules", warn)
+        silver = checked.where(F.size(drops) == 0).drop("failed_rules", "failed_casts")
+        staged, n = self._stage(silver, "silver", e.name)
+        load.tables.append(("silver", e.name, staged, n))
         if counts["n"] != n:
-            dropped = quality.quarantine(typed, e.rules).withColumns(
-                {"entity": F.lit(e.name), "quarantined_at": F.current_timestamp()}
+            dropped = checked.where(F.size(drops) > 0).drop("failed_casts").withColumns(
+                {"failed_rules": drops, "entity": F.lit(e.name), "quarantined_at": F.current_timestamp()}
             )
-            bad, _, m = self._stage(dropped, "metadata", f"dq_quarantine_{e.name}")
+            bad, m = self._stage(dropped, "metadata", f"dq_quarantine_{e.name}")
             load.tables.append(("metadata", f"dq_quarantine_{e.name}", bad, m))
         fact = self.fact(e, self._open(staged), dims, years).hint("rebalance", "year_sk")
-        staged, _, n = self._stage(fact, "gold", f"fact_{e.name}", partition_by=("year_sk",))
+        staged, n = self._stage(fact, "gold", f"fact_{e.name}", partition_by=("year_sk",))
         load.tables.append(("gold", f"fact_{e.name}", staged, n))
         return load
 
     def source_registry(self) -> DataFrame:
-        """Rows every delivered batch brought to every entity."""
-        parts = [self.bronze(e).sources().drop("batch").withColumn("entity", F.lit(e.name)) for e in self.registry.entities]
-        return reduce(DataFrame.unionByName, parts)
+        """Rows every delivered batch brought to every entity: one row each, however often it was delivered."""
+        parts = [self.bronze(e).sources().withColumn("entity", F.lit(e.name)) for e in self.registry.entities]
+        return _summed(reduce(DataFrame.unionByName, parts), "batch_id", "source_system", "entity")
 
     def trace(self, entity: str) -> DataFrame:
         """Fact rows with the batches they came from."""
-        mine = self.source_registry().where(F.col("entity") == entity)
-        return runlog.batch_trace(self.lake.read("gold", f"fact_{entity}"), mine.drop("source_system"))
+        mine = _summed(self.source_registry().where(F.col("entity") == entity), "batch_id", "entity")
+        return runlog.batch_trace(self.lake.read("gold", f"fact_{entity}"), mine)
 
     def run(self, run_id: str | None = None, trigger: str = "manual") -> RunResult:
         run_id = run_id or uuid.uuid4().hex
         self.log.open(run_id, self.name, self.env, trigger)
+        read = {"rows": 0, "batches": []}
         try:
-            status, read, written, batches = self._load(run_id)
+            status, written = self._load(run_id, read)
         except Exception as exc:
-            self.log.close(run_id, runlog.FAILED, error_class=type(exc).__name__, error_message=str(exc))
+            self.log.close(run_id, runlog.FAILED, read["batches"], read["rows"], 0, type(exc).__name__, str(exc))
             raise
-        self.log.close(run_id, status, batches, read, written)
-        return RunResult(run_id, status, read, written)
+        self.log.close(run_id, status, read["batches"], read["rows"], written)
+        return RunResult(run_id, status, read["rows"], written)
 
     def full_refresh(self, run_id: str | None = None) -> RunResult:
         """Replay every landing file into new streams and tables; the old ones stay in use until
@@ -241,6 +252,10 @@ class Pipeline:
             raise
 
 
+def _summed(sources: DataFrame, *by: str) -> DataFrame:
+    return sources.groupBy(*by).agg(F.sum("rows_written").alias("rows_written"), F.max("generated_at").alias("generated_at"))
+
+
 def change_feed_of(raw: DataFrame, e: Entity) -> DataFrame:
     feed = change_feed(raw, e.columns, extra=("source_file",))
     for c in ("source_system", "batch_id"):

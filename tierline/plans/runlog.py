@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.columns import event_metric
-from tierline.registry import Settings
+from tierline.registry import Settings, batch_rules
 from tierline.sources.lake import Lake, read_or_create
 
 # Run states.
@@ -184,15 +184,18 @@ class RunLog:
         self._append([row], RUN_EVENTS, "run_events")
 
     def record_quality(self, run_id: str, loads: list[tuple]) -> None:
-        """Quality results of (entity, counts) pairs; counts were observed during the writes."""
+        """Quality results of (entity, counts, results per delivered batch). Rules on whole tables have no
+        batch; a minimum of rows is one thing to judge, whatever the number of rows."""
         now, rows = datetime.now(timezone.utc), []
-        for e, counts in loads:
-            n = counts.get("n") or 0
-            for r in e.rules:
-                if r.row_level:
-                    failed = counts.get(f"failed__{r.name}") or 0
-                    rate = (n - failed) / n if n else None
-                    rows.append((run_id, None, e.name, r.name, r.severity, n, n - failed, failed, rate, now))
+        for e, counts, by_batch in loads:
+            by_batch.withColumns(
+                {"run_id": F.lit(run_id), "entity": F.lit(e.name), "evaluated_at": F.lit(now)}
+            ).select(*DQ_RESULTS.names).write.mode("append").parquet(self.lake.path("metadata", "dq_results"))
+            for r in batch_rules(e.rules):
+                n = 1 if r.type == "row_count_min" else counts["n"]
+                failed = counts[f"failed__{r.name}"]
+                rate = (n - failed) / n if n else None
+                rows.append((run_id, None, e.name, r.name, r.severity, n, n - failed, failed, rate, now))
         if rows:
             self._append(rows, DQ_RESULTS, "dq_results")
 

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 SOURCE_SYSTEMS = ("SYNTHETIC",)
 
 
+# A line with more or fewer fields than its header is kept whole in this column.
+CORRUPT = "corrupt_record"
+
+
 def validate_source_system(name: str) -> str:
     if name not in SOURCE_SYSTEMS:
         raise ValueError(f"no load may come from {name!r}; known sources: {', '.join(SOURCE_SYSTEMS)}")
@@ -62,11 +66,16 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]
 
 
 def read_by_header(spark: SparkSession, by_header: dict[tuple[str, ...], list[str]], multiline: bool = False) -> DataFrame:
-    """Files with equal headers are read together; columns are matched by name, not by place."""
+    """Files with equal headers are read together; columns are matched by name, not by place.
+
+    What does not fit the header is in ``corrupt_record``, unless a file has a column of that name.
+    """
     out = None
     for names, files in sorted(by_header.items()):
+        kept = [] if CORRUPT in names else [CORRUPT]
         part = (
-            spark.read.schema(text_schema(list(names)))
+            spark.read.schema(text_schema([*names, *kept]))
+            .option("columnNameOfCorruptRecord", CORRUPT if kept else "")
             .option("header", True)
             .option("multiLine", multiline)
             .option("escape", '"')

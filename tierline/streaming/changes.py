@@ -8,11 +8,14 @@ changes come out right without a special case, and doing a batch again changes n
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from queue import Queue
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from tierline.operators.history import END, START, scd2
 from tierline.operators.shaping import typed_select
@@ -27,17 +30,43 @@ def change_feed(raw: DataFrame, columns, strict: bool = False, extra: tuple[str,
     return typed_select(raw, columns, strict, extra)
 
 
+class _RowCounter(StreamingQueryListener):
+    """Rows per run of a query. What a query itself remembers goes back 100 batches only."""
+
+    def __init__(self):
+        self.rows, self.ended = Counter(), Queue()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.rows[str(event.progress.runId)] += event.progress.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.put(str(event.runId))
+
+
+def run_to_end(spark: SparkSession, writer: DataStreamWriter, patience: float = 300.0) -> int:
+    """Run a query until its source is used up; rows taken. Its events arrive in order, the end last."""
+    counter = _RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        query = writer.start()
+        query.awaitTermination()
+        while counter.ended.get(timeout=patience) != str(query.runId):
+            pass
+        return counter.rows[str(query.runId)]
+    finally:
+        spark.streams.removeListener(counter)
+
+
 def run_feed(feed: DataFrame, path: str, checkpoint: str) -> int:
     """Append a streaming feed to a table until its source is used up; rows taken."""
-    query = (
-        feed.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    writer = feed.writeStream.format("parquet").outputMode("append").option("path", path)
+    return run_to_end(feed.sparkSession, writer.option("checkpointLocation", checkpoint).trigger(availableNow=True))
 
 
 @dataclass(frozen=True)
@@ -136,11 +165,5 @@ class HistoryTable:
 
     def run(self, stream: DataFrame, checkpoint: str | None = None) -> int:
         """Apply everything a streaming feed holds, then stop; rows taken."""
-        query = (
-            stream.writeStream.foreachBatch(self.apply)
-            .option("checkpointLocation", checkpoint or self.checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        return sum(p["numInputRows"] for p in query.recentProgress)
+        writer = stream.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint or self.checkpoint)
+        return run_to_end(self.spark, writer.trigger(availableNow=True))

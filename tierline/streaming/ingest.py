@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.sources.lake import read_or_create
-from tierline.sources.landing import headers, read_by_header, text_schema
+from tierline.sources.landing import CORRUPT, headers, read_by_header, text_schema
 
 FILES_PER_BATCH = 1000
 
@@ -86,7 +86,8 @@ class Bronze:
         return [r["name"] for r in first.orderBy("at").collect()]
 
     def schema(self) -> T.StructType:
-        schema = text_schema(self.columns())
+        names = self.columns()
+        schema = text_schema(names + ([] if CORRUPT in names else [CORRUPT]))
         return (
             schema.add("ingested_at", T.TimestampType())
             .add("source_file", T.StringType())
@@ -98,6 +99,14 @@ class Bronze:
         stored = self.schema().add("_batch", T.LongType())
         return read_or_create(self.spark, self.data, stored, partition_by=("_batch",)).drop("_batch")
 
+    def since(self, batch: int) -> tuple[int, int, list[str]]:
+        """What came after a batch: rows, the newest batch, and the ids of the deliveries."""
+        data = read_or_create(self.spark, self.data, self.schema().add("_batch", T.LongType()), partition_by=("_batch",))
+        new = data.where(F.col("_batch") > batch)
+        n, newest = new.agg(F.count(F.lit(1)), F.max("_batch")).first()
+        brought = self.sources().where((F.col("batch") > batch) & F.col("batch_id").isNotNull())
+        return n, batch if newest is None else newest, [r["batch_id"] for r in brought.select("batch_id").distinct().collect()]
+
     def read_stream(self) -> DataFrame:
         """New rows since the reader's checkpoint, under the columns known at the start."""
         schema = self.schema().add("_batch", T.LongType())
