@@ -1,6 +1,7 @@
 """The suburb mart end to end: files, restatement, history, facts, views, no-op, failure."""
 
 import csv
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -170,3 +171,41 @@ def test_full_refresh_gives_the_same_tables_and_is_remembered(spark, tmp_path):
         new = lake.read("gold", name).drop("gold_loaded_at", "ingested_at")
         old = old.drop("gold_loaded_at", "ingested_at")
         assert new.exceptAll(old).count() == 0 and old.exceptAll(new).count() == 0
+
+
+def test_lost_values_batch_rules_and_repeated_batches_are_recorded(spark, tmp_path):
+    root = tmp_path / "landing"
+    land_all(root)
+    rules = (
+        registry.Rule("one_period", "unique", "WARN", columns=("period",)),
+        registry.Rule("many_rows", "row_count_min", "WARN", min=1000),
+        registry.Rule("code_there", "not_null", "FATAL", column="sal_code"),
+    )
+    known = {e.name: e for e in registry.load().entities}
+    only = registry.Registry((known["suburb_ref"], replace(known["crime"], rules=rules)))
+    pipe = Pipeline(Lake(spark, str(tmp_path / "lake")), only, str(root))
+    land(root, "crime", "crime_2.csv", [dict(sal_code="S9", period="20x6", offence_count_total="abc")], "b2")
+    with open(root / "crime" / "crime_2.csv", "a") as f:
+        f.write("S8,2011,5,SYNTHETIC,b2,surplus\n")
+    assert pipe.run("a").status == "SUCCESS"
+    found = {(r["batch_id"], r["rule_name"]): (r["rows_evaluated"], r["rows_failed"]) for r in pipe.log.dq_results().collect()}
+    assert found == {
+        ("b1", "code_there"): (9, 0), ("b2", "code_there"): (2, 0),
+        ("b2", "cast_failed__period"): (2, 1), ("b2", "cast_failed__offence_count_total"): (2, 1),
+        (None, "one_period"): (11, 3), (None, "many_rows"): (1, 1),
+    }
+    kept = pipe.bronze(only["crime"]).read().where("corrupt_record IS NOT NULL").collect()
+    assert [r["corrupt_record"] for r in kept] == ["S8,2011,5,SYNTHETIC,b2,surplus"]
+
+    # the same batch delivered again: a run that fails, then one that takes the fix
+    land(root, "crime", "crime_3.csv", [dict(sal_code="", period=2021, offence_count_total=1)], "b2")
+    with pytest.raises(QualityError, match="code_there"):
+        pipe.run("b")
+    land(root, "crime", "crime_4_upd.csv", [dict(sal_code="", period=2021, offence_count_total=2)], "b3")
+    pipe.registry = registry.Registry((known["suburb_ref"], replace(known["crime"], rules=rules[:2])))
+    assert (pipe.run("c").rows_read, pipe.run("d").status) == (2, "NO_OP")
+    runs = {r["run_id"]: (r["status"], r["rows_read"], sorted(r["batch_ids"])) for r in pipe.log.runs().collect()}
+    assert runs == {"a": ("SUCCESS", 14, ["b1", "b2"]), "b": ("FAILED", 1, ["b2"]), "c": ("SUCCESS", 2, ["b2", "b3"]), "d": ("NO_OP", 0, [])}
+    crime = pipe.source_registry().where("entity = 'crime'")
+    assert rows(crime, "batch_id", "rows_written") == [("b1", 9), ("b2", 3), ("b3", 1)]
+    assert pipe.trace("crime").count() == pipe.lake.read("gold", "fact_crime").count() == 12

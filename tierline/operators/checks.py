@@ -186,11 +186,11 @@ def dim_checks(name: str, dim: DataFrame, sk: str, key: str, ord_: int = 30) ->
 
 
 def fact_checks(name: str, sub: int, fact: DataFrame, dim: DataFrame, years: DataFrame, sk: str,
-                grain: list[str]) -> list[Column]:
+                grain: list[str], unknown_limit: float = UNKNOWN_LIMIT_PCT) -> list[Column]:
     dup = _count(duplicates(fact, grain)).scalar()
     lost = orphan_keys(fact, dim, sk).agg(F.coalesce(F.sum("fact_rows"), F.lit(0))).scalar()
     lost_years = orphan_keys(fact, years, "year_sk").agg(F.coalesce(F.sum("fact_rows"), F.lit(0))).scalar()
-    rate = unknown_rate(fact, sk).select(F.struct("unknown_pct", "result").alias("s")).scalar()
+    rate = unknown_rate(fact, sk, unknown_limit).select(F.struct("unknown_pct", "result").alias("s")).scalar()
     whole = (lost == 0) & (lost_years == 0)
     return [
         _check(40, sub, f"fact grain: {name}", _pass_if(dup == 0),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tierline.operators import scoring
 from tierline.operators.scoring import Factor, Mode
 from tierline.plans import reports
-from tierline.plans.runlog import RunLog
+from tierline.plans.runlog import RunLog, with_duration
 from tierline.sources.lake import Lake
 
 # Transport modes with reference frequencies and weights, chart labels.
@@ -116,5 +116,6 @@ def publish(lake: Lake) -> list[str]:
     for name, df in views(lake).items():
         df.createOrReplaceTempView(name)
         made.append(name)
-    RunLog(lake).runs().createOrReplaceTempView("vw_pipeline_health")
+    health = with_duration(RunLog(lake).runs()).orderBy(F.col("started_at").desc())
+    health.createOrReplaceTempView("vw_pipeline_health")
     return [*made, "vw_pipeline_health"]

@@ -22,7 +22,7 @@ def row_flow(pipe: Pipeline) -> DataFrame:
 def verify(pipe: Pipeline, views: dict[str, DataFrame] | None = None) -> DataFrame:
     """All checks as (check, result, detail), in the order of the layers."""
     lake, registry = pipe.lake, pipe.registry
-    years = lake.read("gold", "dim_year")
+    years, limit = lake.read("gold", "dim_year"), registry.settings(pipe.env).unknown_rate_pct
     parts = checks.run_checks(pipe.log.runs())
     for i, e in enumerate(registry.references):
         dim = lake.read("gold", f"dim_{e.name}")
@@ -31,7 +31,7 @@ def verify(pipe: Pipeline, views: dict[str, DataFrame] | None = None) -> DataFra
         ref, _ = registry.dimension_of(e)
         sk = f"{ref.name}_sk"
         fact, dim = lake.read("gold", f"fact_{e.name}"), lake.read("gold", f"dim_{ref.name}")
-        parts += checks.fact_checks(f"fact_{e.name}", i, fact, dim, years, sk, [sk, "year_sk"])
+        parts += checks.fact_checks(f"fact_{e.name}", i, fact, dim, years, sk, [sk, "year_sk"], limit)
     parts += [checks.serving_check(n, i, v) for i, (n, v) in enumerate((views or {}).items(), 1)]
     found = checks.report(lake.spark, parts, row_flow(pipe))
     return found.orderBy("ord", "sub", "check").select("check", "result", "detail")
