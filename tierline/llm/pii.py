@@ -7,8 +7,10 @@ of its word in the corpus that stand beside a good instance (of enough different
 together say; seeds stay certain. Identifiers that no base pattern matches are taken where a pattern
 of high confidence stands beside them. Base spans always stay.
 
-The word counts behind the shares cover all texts. When the words in question are few they are looked
-up before counting, else all words are counted; the figures are the same.
+Only patterns that can reach the least number of good instances are scored: those beside enough seeds,
+or beside enough instances that such patterns could make good. The others could never be accepted, so leaving
+them out changes nothing. The word counts behind the shares cover all texts: tasks get the patterns' words as a bitmap of
+fixed size and count the words whose bit is set; a join takes out those that only share a bit.
 
 Spans are in code points, end exclusive. Defined cases: a null or empty text has no spans; equal texts have equal
 spans; repeated rows give equal rows; very long texts and runs are scanned in linear time; an empty table gives an empty result.
@@ -28,8 +30,10 @@ from tierline.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, LEAST_SUPPORT, LEAST_CONFIDENCE = 3, 4, 0.6
-#: Pattern words that tasks get as a list; with more of them all words are counted.
-LISTED_WORDS = 200_000
+#: Bits of the bitmap of pattern words that tasks get (512 KB), in pieces of what Spark's bitmap aggregate holds.
+WORD_BITS, PIECE_BITS = 22, 15
+#: Words, with repeats, that a task adds up before it sends counts on.
+HELD_WORDS = 1 << 18
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -175,32 +179,66 @@ def near(taken: list[tuple[int, int]], a: int, b: int) -> list[tuple[int, int]]:
     return out
 
 
-def counted(listed: np.ndarray | None):
-    """(text) to (word, n) per block, of the listed words or of all."""
+def bitmap(asked: DataFrame) -> np.ndarray:
+    """One bit per slot of a word's hash, packed in bytes; at most 2^(WORD_BITS - PIECE_BITS) pieces of 4 KB are fetched."""
+    slot = F.col("word").bitwiseAND(F.lit((1 << WORD_BITS) - 1))
+    pieces = asked.select(F.shiftright(slot, PIECE_BITS).alias("piece"), slot.bitwiseAND(F.lit((1 << PIECE_BITS) - 1)).alias("at"))
+    out = np.zeros((1 << (WORD_BITS - PIECE_BITS), 1 << (PIECE_BITS - 3)), np.uint8)
+    for r in pieces.groupBy("piece").agg(F.bitmap_construct_agg("at").alias("bits")).collect():
+        out[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def summed(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(word, kind="stable")
+    word, n = word[order], n[order]
+    first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
+    return word[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def counted(bits: np.ndarray):
+    """(text) to (word, n) of the words whose bit is set, added up within the task as far as `HELD_WORDS` go."""
 
     def run(batches):
+        wanted = np.unpackbits(bits, bitorder="little").astype(bool)
+        word, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             for _, _, data, offsets in blocks(batch.column(0)):
                 data = PLAIN[data]
                 starts, ends, _ = words(data, offsets)
                 h = hashes(data, starts, ends).view(np.int64)
-                if listed is not None:
-                    h = h[listed[np.minimum(np.searchsorted(listed, h), len(listed) - 1)] == h] if len(listed) else h[:0]
-                h = np.sort(h)
-                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(np.diff(np.append(first, len(h))))], ["word", "n"])
+                h = h[wanted[h & ((1 << WORD_BITS) - 1)]]
+                word, n = np.concatenate([word, h]), np.concatenate([n, np.ones(len(h), np.int64)])
+                if len(word) > HELD_WORDS:
+                    word, n = summed(word, n)
+                if len(word) > HELD_WORDS // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], ["word", "n"])
+                    word, n = word[:0], n[:0]
+        word, n = summed(word, n)
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], ["word", "n"])
 
     return run
 
 
+def reachable(spark, edges: DataFrame, rounds: int, least_support: int) -> DataFrame:
+    """The edges of the patterns that could be accepted in so many rounds if every share were high enough."""
+    pattern, instance = ["kind", "side", "word"], ["kind", "instance"]
+    good = edges.filter("seed").select(*instance).distinct()
+    for _ in range(rounds):
+        enough = edges.join(good, instance, "left_semi").groupBy(*pattern).agg(F.count(F.lit(1)).alias("support")).filter(F.col("support") >= least_support)
+        kept = materialize(spark, edges.join(enough.drop("support"), pattern, "left_semi"))
+        good = kept.select(*instance).union(edges.filter("seed").select(*instance)).distinct()
+    return kept
+
+
 def good_patterns(spark, texts: DataFrame, occurrences: DataFrame, rounds: int = ROUNDS, least_support: int = LEAST_SUPPORT,
                   least_confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """(kind, side, word, confidence) of the patterns that the graph of patterns and instances trusts."""
     edges = occurrences.select("kind", "instance", "seed", F.explode("patterns").alias("p")).select("kind", "instance", "seed", "p.side", "p.word")
     edges = materialize(spark, edges.groupBy("kind", "side", "word", "instance").agg(F.count(F.lit(1)).alias("n"), F.max("seed").alias("seed")))
-    asked = materialize(spark, edges.select("word").distinct())
-    listed = np.sort(np.array([r["word"] for r in asked.collect()], np.int64)) if asked.count() <= LISTED_WORDS else None
-    counts = texts.mapInArrow(counted(listed), "word long, n long").groupBy("word").agg(F.sum("n").alias("all"))
+    edges = reachable(spark, edges, rounds, least_support)
+    asked = edges.select("word").distinct()
+    counts = texts.mapInArrow(counted(bitmap(asked)), "word long, n long").groupBy("word").agg(F.sum("n").alias("all"))
     counts = materialize(spark, counts.join(asked, "word", "left_semi"))
     edges = materialize(spark, edges.join(counts, "word"))
     belief = materialize(spark, edges.groupBy("kind", "instance").agg(F.max("seed").alias("seed")).withColumn("belief", F.col("seed").cast("double")))
