@@ -26,6 +26,9 @@ PLAIN[[i for i in range(128) if not chr(i).isalnum()]] = 0x20
 #: ASCII signs: neither letter nor digit nor white space.
 SIGN = np.array([i < 128 and not chr(i).isalnum() and not WHITE[i] for i in range(256)])
 
+#: ASCII letters and digits.
+ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
+
 #: Bytes of text taken through numpy at once. A longer text is taken alone.
 BLOCK_BYTES = 2 << 20
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.batches import LOWER, SIGN, blocks, distinct_words, words
+from tierline.llm.batches import ALNUM, LOWER, SIGN, blocks, distinct_words, words
 from tierline.session import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -61,15 +61,18 @@ class Memory:
 def token_ids(tokenizer, memory: Memory, data: np.ndarray, offsets: np.ndarray, close: int) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts, each closed by `close`, and where each text's ids begin.
 
-    The tokenizer folds case and splits at white space and before signs until it merges, so equal pieces have equal
-    ids wherever they stand. Where a text spells one of its special tokens, words are left as they are.
+    The tokenizer folds case and splits at white space and between ASCII letters or digits and the ASCII signs after
+    them until it merges, so equal pieces have equal ids wherever they stand. Bytes from 128 on may be signs or marks,
+    which it keeps together with the signs after them: there is no cut behind one. It composes marks before it folds, so
+    a capital before such a byte stays. Where a text spells one of its special tokens, words are left as they are.
     """
-    folded = LOWER[data]
+    folded, kept = LOWER[data], np.flatnonzero(data[1:] >= 128)
+    folded[kept] = data[kept]
     if SPECIAL.search(folded.tobytes()):
         starts, ends, text = words(data, offsets)
     else:
         data, sign = folded, SIGN[folded]
-        starts, ends, text = words(data, offsets, cut=np.append(False, sign[1:] & ~sign[:-1])[: len(data)])
+        starts, ends, text = words(data, offsets, cut=np.append(False, sign[1:] & ALNUM[folded[:-1]])[: len(data)])
     first, inverse, h = distinct_words(data, starts, ends)
     if not memory.look(h)[1].all():
         if len(memory.hash) > REMEMBERED:
