@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from tierline.llm import packing
+from tierline.llm import packing, warc
 
 
 def test_packing_keeps_non_ascii_signs_and_marks_with_the_signs_after_them(spark):
@@ -17,3 +17,13 @@ def test_packing_keeps_non_ascii_signs_and_marks_with_the_signs_after_them(spark
     for k, text in enumerate(texts):
         ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
         assert got[k] == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
+def test_warc_payloads_that_end_in_line_breaks(spark, tmp_path):
+    ends = ["\r", "\n", "\r\n", "\n\r", "\r\n\r", "\r\n\r\n", "\r\n\r\n\r", "\r\n\r\r\n\r\n", "\r\n" * 40_001, "\n\r\n\r\n"]
+    texts = {k: f"<html>{k}</html>{end}" for k, end in enumerate(ends)} | {100 + k: end for k, end in enumerate(ends)}
+    pages = spark.createDataFrame([(k, "u", text) for k, text in texts.items()], "page_id long, url string, html string")
+    for roll_bytes in (200, 1 << 20):
+        folder = f"file://{tmp_path}/{roll_bytes}"
+        warc.write(pages, folder, roll_bytes=roll_bytes)
+        assert {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, folder).collect()} == texts

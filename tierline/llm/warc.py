@@ -164,32 +164,60 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_revis
         raise OSError("there is a manifest already")
 
 
+def record(head: dict[str, str], body: bytes) -> tuple:
+    digest, revisit = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"] == "revisit"
+    if not revisit and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
+        raise ValueError(f"record of page {head['Page-Id']} does not match its digest")
+    number = lambda k: int(head[k]) if head.get(k) else None
+    return (number("Page-Id"), head["WARC-Target-URI"], int(head["Payload-Length"]) if revisit else len(body), digest, head["WARC-Type"], number("Refers-To-Page-Id"), None if revisit else body)
+
+
 def parsed(batches):
-    """Pieces between blank lines, in file order, to records; a payload with blank lines is put together by its length."""
-    head, body, want = None, None, 0
-    for batch in batches:
-        out = []
-        for piece in batch.column(0).to_pylist():
+    """(archive, piece between blank lines), in order, to records.
+
+    An archive's bytes are its pieces with blank lines between them, wherever it was split; records are cut out by their
+    lengths. Held is one record, and what one piece adds to it. After the last record the reader may have taken the blank line.
+    """
+    gap = GAP.encode()
+    archive, held, head, want = None, bytearray(), None, 0
+
+    def records(ended: bool):
+        nonlocal head, want
+        while True:
             if head is None:
-                head = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in piece.decode("utf-8", "replace").split("\r\n")[1:])
-                want, body = int(head["Content-Length"]), None
-                continue
-            body = piece if body is None else body + GAP.encode() + piece
-            if len(body) < want:
-                continue
-            if len(body) != want:
-                raise ValueError(f"record of page {head['Page-Id']} has {len(body)} bytes, not {want}")
-            digest, revisit = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"] == "revisit"
-            if not revisit and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
-                raise ValueError(f"record of page {head['Page-Id']} does not match its digest")
-            number = lambda k: int(head[k]) if head.get(k) else None  # noqa: E731, B023
-            out.append((number("Page-Id"), head["WARC-Target-URI"], int(head["Payload-Length"]) if revisit else len(body), digest, head["WARC-Type"], number("Refers-To-Page-Id"), None if revisit else body))
+                stop = held.find(gap)
+                if stop < 0:
+                    if ended and held:
+                        raise ValueError(f"{archive} ends inside a record")
+                    return
+                head = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in held[:stop].decode("utf-8", "replace").split("\r\n")[1:])
+                want = int(head["Content-Length"])
+                del held[: stop + len(gap)]
+            if len(held) < want + len(gap) and not (ended and len(held) == want):
+                if ended:
+                    raise ValueError(f"{archive} ends inside a record")
+                return
+            if held[want : want + len(gap)] not in (gap, b""):
+                raise ValueError(f"record of page {head['Page-Id']} is longer than {want} bytes")
+            yield record(head, bytes(held[:want]))
+            del held[: want + len(gap)]
             head = None
-        names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload")
-        types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], list(names))
-    if head is not None:
-        raise ValueError("an archive ends inside a record")
+
+    names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload")
+    types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
+    of = lambda out: pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], list(names))
+    for batch in batches:
+        out = []
+        for path, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if path == archive:
+                held += gap
+            else:
+                out += records(True)
+                archive = path
+            held += piece
+            out += records(False)
+        yield of(out)
+    yield of(list(records(True)))
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -199,7 +227,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     if not manifest["files"]:
         return spark.createDataFrame([], schema)
     lines = spark.read.option("lineSep", GAP).text([f"{folder}/{f['name']}" for f in manifest["files"]])
-    return lines.select(F.col("value").cast("binary").alias("value")).mapInArrow(parsed, schema)
+    return lines.select(F.col("_metadata.file_path").alias("archive"), F.col("value").cast("binary").alias("value")).mapInArrow(parsed, schema)
 
 
 def round_trip(pages: DataFrame, roll_bytes: int = ROLL_BYTES) -> DataFrame:
