@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from tierline.llm import packing, warc
+from tierline.llm import packing, similarity, warc
 
 
 def test_packing_keeps_non_ascii_signs_and_marks_with_the_signs_after_them(spark):
@@ -27,3 +27,12 @@ def test_warc_payloads_that_end_in_line_breaks(spark, tmp_path):
         folder = f"file://{tmp_path}/{roll_bytes}"
         warc.write(pages, folder, roll_bytes=roll_bytes)
         assert {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, folder).collect()} == texts
+
+
+def test_a_weak_link_does_not_depend_on_the_links_of_others(spark, monkeypatch):
+    used = []
+    prefixes = similarity.prefixes
+    monkeypatch.setattr(similarity, "prefixes", lambda trees, depth, k: used.append(k) or prefixes(trees, depth, k))
+    hot = [(i, " ".join([f"w{k}" for k in range(100)] + [f"v{i}"])) for i in range(30)]
+    similarity.similarity_join(spark.createDataFrame(hot, "doc_id long, text string"))
+    assert 1 - (1 - similarity.SIMILARITY ** used[-1]) ** similarity.TREES >= similarity.TARGET_RECALL

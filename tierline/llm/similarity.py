@@ -2,11 +2,11 @@
 
 Two texts are linked when the Jaccard similarity of their sets of five-word shingles is at least 0.8.
 Equal texts are one text first (grouped by digest, with partial aggregation). Each text gets one
-signature per tree; the sorted trie of a tree is walked by prefixes of its signatures. Prefixes start
-long and are shortened, level by level, until the recall that the found links imply reaches the
-target: a link of similarity s shares a prefix of k values in one of L trees with probability
-p = 1 - (1 - s^k)^L, so each found link stands for 1/p links. Only texts that share a prefix are
-fetched and verified, with their exact shingle sets.
+signature per tree; texts meet at prefixes of their signatures in the trie of a tree. A link of
+similarity s shares a prefix of k values in one of L trees with probability 1 - (1 - s^k)^L. Prefixes
+are as long as the weakest link that counts still reaches the target probability, so no link's chance
+depends on what other links there are. Only texts that share a prefix are fetched and verified, with
+their exact shingle sets.
 
 Inside a prefix group, pairs are counted, not emitted: a task gets two blocks of a group (bounded by
 members and by shingles, so a group of any size is split), intersects them exactly, and returns a
@@ -111,7 +111,7 @@ def gram_sets(n: int):
 
 
 def verified(least: float, trees: int, depth: int, k: int):
-    """Two blocks of a prefix group to link counts, spanning edges and a histogram of similarities."""
+    """Two blocks of a prefix group to link counts and spanning edges."""
 
     def run(key, table):
         tree, left, right = key[1].as_py(), key[3].as_py(), key[4].as_py()
@@ -142,13 +142,12 @@ def verified(least: float, trees: int, depth: int, k: int):
                 continue
             links[i] += len(linked)
             links[linked] += 1
-            out += [(None, None, None, int(b), int(c)) for b, c in zip(*np.unique((similar[linked] * 100).astype(int), return_counts=True), strict=True)]
             for joined in np.unique(label[linked]):
-                out.append((digests[i], digests[int(linked[label[linked] == joined][0])], None, None, None))
+                out.append((digests[i], digests[int(linked[label[linked] == joined][0])], None))
             merged = np.isin(label, np.append(label[linked], label[i]))
             label[merged] = label[merged].min()
-        out += [(d, None, int(x), None, None) for d, x in zip(digests, links, strict=True) if x]
-        names, types = ("a", "b", "links", "bin", "n"), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+        out += [(d, None, int(x)) for d, x in zip(digests, links, strict=True) if x]
+        names, types = ("a", "b", "links"), (pa.string(), pa.string(), pa.int64())
         return pa.table([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], list(names))
 
     return run
@@ -168,6 +167,11 @@ def components(spark, edges: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
+def prefix_length(least: float, trees: int, depth: int, target: float) -> int:
+    """The longest prefix by which a link of similarity `least` is found with the target probability; 1 if there is none."""
+    return next((k for k in range(depth, 1, -1) if 1 - (1 - least**k) ** trees >= target), 1)
+
+
 def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS, least: float = SIMILARITY,
                     trees: int = TREES, depth: int = DEPTH, target: float = TARGET_RECALL) -> DataFrame:
     """One row per row of `docs`: doc_id, class_id, n_links (linked different texts), text_id (smallest id of the
@@ -180,26 +184,21 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialize(spark, rows.groupBy("digest").agg(F.min("doc_id").alias("text_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
     wordy = texts.filter("n_shingles > 0").select("digest", "n_shingles", "signature")
 
-    for k in range(depth, 0, -1):
-        entries = wordy.mapInArrow(prefixes(trees, depth, k), "digest string, n_shingles long, tree int, prefix long")
-        groups = entries.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("grams")).filter("members > 1")
-        split = groups.withColumn("n_blocks", F.ceil(F.greatest(F.col("members") / BLOCK_TEXTS, F.col("grams") / BLOCK_SHINGLES)).cast("int"))
-        shared = materialize(spark, entries.join(split, ["tree", "prefix"]).select("digest", "tree", "prefix", "n_blocks"))
-        wanted = shared.select("digest").distinct()
-        first_rows = source.join(texts.select(F.col("text_id").alias("doc_id"), "digest").join(wanted, "digest"), ["doc_id", "digest"], "left_semi")
-        sets = materialize(spark, first_rows.select("digest", "text").mapInArrow(gram_sets(n), "digest string, grams binary").dropDuplicates(["digest"]))
-        members = shared.join(sets, "digest").join(wordy.select("digest", "signature"), "digest")
-        block = F.pmod(F.xxhash64("digest"), F.col("n_blocks")).cast("int")
-        members = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        members = members.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        found = materialize(spark, members.select("prefix", "tree", "n_blocks", "low", "high", "block", "digest", "signature", "grams")
-                            .groupBy("prefix", "tree", "n_blocks", "low", "high")
-                            .applyInArrow(verified(least, trees, depth, k), "a string, b string, links long, bin long, n long"))
-        seen = [((r["bin"] + 0.5) / 100, r["n"]) for r in found.filter("bin is not null").groupBy("bin").agg(F.sum("n").alias("n")).collect()]  # at most 101 rows
-        chance = [(1 - (1 - min(s, 1.0) ** k) ** trees, c) for s, c in seen]
-        at_least = 1 - (1 - least**k) ** trees if not chance else sum(c for _, c in chance) / sum(c / p for p, c in chance)
-        if at_least >= target or k == 1:
-            break
+    k = prefix_length(least, trees, depth, target)
+    entries = wordy.mapInArrow(prefixes(trees, depth, k), "digest string, n_shingles long, tree int, prefix long")
+    groups = entries.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members"), F.sum("n_shingles").alias("grams")).filter("members > 1")
+    split = groups.withColumn("n_blocks", F.ceil(F.greatest(F.col("members") / BLOCK_TEXTS, F.col("grams") / BLOCK_SHINGLES)).cast("int"))
+    shared = materialize(spark, entries.join(split, ["tree", "prefix"]).select("digest", "tree", "prefix", "n_blocks"))
+    wanted = shared.select("digest").distinct()
+    first_rows = source.join(texts.select(F.col("text_id").alias("doc_id"), "digest").join(wanted, "digest"), ["doc_id", "digest"], "left_semi")
+    sets = materialize(spark, first_rows.select("digest", "text").mapInArrow(gram_sets(n), "digest string, grams binary").dropDuplicates(["digest"]))
+    members = shared.join(sets, "digest").join(wordy.select("digest", "signature"), "digest")
+    block = F.pmod(F.xxhash64("digest"), F.col("n_blocks")).cast("int")
+    members = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    members = members.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    found = materialize(spark, members.select("prefix", "tree", "n_blocks", "low", "high", "block", "digest", "signature", "grams")
+                        .groupBy("prefix", "tree", "n_blocks", "low", "high")
+                        .applyInArrow(verified(least, trees, depth, k), "a string, b string, links long"))
 
     links = found.filter("links is not null").groupBy(F.col("a").alias("digest")).agg(F.sum("links").alias("n_links"))
     label = components(spark, found.filter("b is not null"))
