@@ -36,3 +36,14 @@ def test_a_weak_link_does_not_depend_on_the_links_of_others(spark, monkeypatch):
     hot = [(i, " ".join([f"w{k}" for k in range(100)] + [f"v{i}"])) for i in range(30)]
     similarity.similarity_join(spark.createDataFrame(hot, "doc_id long, text string"))
     assert 1 - (1 - similarity.SIMILARITY ** used[-1]) ** similarity.TREES >= similarity.TARGET_RECALL
+
+
+def test_near_copies_without_an_id_are_linked(spark):
+    base = {x: [f"{x}{k}" for k in range(60)] for x in "abc"}
+    text = lambda x, v: " ".join([*base[x], v])
+    rows = [(None, text("a", "one")), (None, text("a", "two")), (None, text("b", "one")), (7, text("b", "two")), (None, text("b", "one")), (8, text("c", "one")), (9, "alone"), (None, "alone too")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in similarity.similarity_join(docs).collect())
+    assert got == sorted([(0, 0, 1), (0, 0, 1), (0, 7, 1), (7, 7, 1), (0, 7, 1), (8, 8, 0), (9, 9, 0), (0, 0, 0)])
+    kept = [r.text for r in similarity.one_of_each(docs).collect()]
+    assert len(kept) == 5 and rows[3][1] in kept and rows[2][1] not in kept and sum(x in kept for x in (rows[0][1], rows[1][1])) == 1

@@ -190,7 +190,8 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     split = groups.withColumn("n_blocks", F.ceil(F.greatest(F.col("members") / BLOCK_TEXTS, F.col("grams") / BLOCK_SHINGLES)).cast("int"))
     shared = materialize(spark, entries.join(split, ["tree", "prefix"]).select("digest", "tree", "prefix", "n_blocks"))
     wanted = shared.select("digest").distinct()
-    first_rows = source.join(texts.select(F.col("text_id").alias("doc_id"), "digest").join(wanted, "digest"), ["doc_id", "digest"], "left_semi")
+    first = texts.join(wanted, "digest").select("text_id", F.col("digest").alias("text_digest"))
+    first_rows = source.join(first, (F.col("digest") == F.col("text_digest")) & F.col("doc_id").eqNullSafe(F.col("text_id")), "left_semi")
     sets = materialize(spark, first_rows.select("digest", "text").mapInArrow(gram_sets(n), "digest string, grams binary").dropDuplicates(["digest"]))
     members = shared.join(sets, "digest").join(wordy.select("digest", "signature"), "digest")
     block = F.pmod(F.xxhash64("digest"), F.col("n_blocks")).cast("int")
