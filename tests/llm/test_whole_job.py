@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from tierline.llm import packing, similarity, warc
+from tierline.llm import maxent, packing, similarity, warc
 
 
 def test_packing_keeps_non_ascii_signs_and_marks_with_the_signs_after_them(spark):
@@ -47,3 +47,15 @@ def test_near_copies_without_an_id_are_linked(spark):
     assert got == sorted([(0, 0, 1), (0, 0, 1), (0, 7, 1), (7, 7, 1), (0, 7, 1), (8, 8, 0), (9, 9, 0), (0, 0, 0)])
     kept = [r.text for r in similarity.one_of_each(docs).collect()]
     assert len(kept) == 5 and rows[3][1] in kept and rows[2][1] not in kept and sum(x in kept for x in (rows[0][1], rows[1][1])) == 1
+
+
+def test_a_context_of_one_partition_keeps_its_weight(spark):
+    rng = np.random.default_rng(4)
+    plain = [" ".join(f"w{k}" for k in rng.integers(0, 50, 200)) for _ in range(120)]
+    rows = [(k, " ".join(["zeta omega"] * 100)) for k in range(8)] + [(k + 8, x) for k, x in enumerate(plain)] + [(1000, "zeta omega zeta omega")]
+    gain = []
+    for tasks in (1, 16):
+        docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, tasks), "doc_id long, text string")
+        (r,) = maxent.score(docs, docs.doc_id == 1000).filter("doc_id = 1000").collect()
+        gain.append(r.score - r.base_score)
+    assert gain[1] > 0.5 * gain[0] > 0, gain

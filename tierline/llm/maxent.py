@@ -10,9 +10,11 @@ by word ending, and within a bucket a word has its share of the training count,
 bucket's sum, with 0.5 kept for a word never seen. So probabilities sum to one.
 Features of a context are hashed rows of weights: the previous word, the one before it (a skip), and both together.
 
-Training: every task passes once over its training texts with per-row adaptive gradient updates in
-numpy, from a start at the counted frequencies; the tasks' weights are averaged by their token numbers, in Spark,
-64 tasks at a time. What the driver and the tasks hold is the table of fixed size.
+Training: the training texts are dealt into `TRAIN_ROUNDS` by a hash of the text. In each round every task passes once over
+its texts of that round with per-row adaptive gradient updates in numpy, from the weights that the rounds before ended with
+(the first one from the counted frequencies). What the tasks add to a row is averaged over the tasks that touched it, by how often
+they did, in Spark, 64 tasks at a time; a context met by few tasks keeps its weight. What the driver and the tasks hold is
+the table of fixed size.
 
 Defined cases: a null or empty text has the end token only; rows with a null id count as training rows; repeated rows
 count again and are scored alike; without training rows all words share the bucket masses of unseen words; an empty table gives an empty result.
@@ -36,6 +38,7 @@ CLASSES = MEMBERS // WIDTH + 1
 CLASS_BITS, MEMBER_BITS, STEP_TOKENS, RATE = 13, 14, 4096, 0.3
 #: Rows of weights that travel together, and tasks whose weights are averaged at once.
 ROWS_TOGETHER, TASKS_TOGETHER = 256, 64
+TRAIN_ROUNDS = 3
 
 END, BEFORE = np.uint64(0x5EED5EED5EED5EED), np.uint64(0x0B0E0B0E0B0E0B0E)
 
@@ -143,56 +146,83 @@ class Model:
             out[a : a + len(c)] = np.log10(np.maximum(y[own, c].astype(np.float64) * v[own, m], 1e-300))
         return out
 
-    def learn(self, f, cls, member, squares) -> None:
+    def learn(self, f, cls, member, squares, seen) -> None:
+        """Updates of the weights; `squares` and `seen` add up each row's squared gradients and how often it was met."""
         at = np.arange(STEP_TOKENS)
         for a in range(0, len(cls), STEP_TOKENS):
             c, m = cls[a : a + STEP_TOKENS], member[a : a + STEP_TOKENS]
             rows, y, inner, v = self.forward(f[:, a : a + STEP_TOKENS], c)
             y[at[: len(c)], c] -= 1
             v[at[: len(c)], m] -= 1
-            for table, past, index, error in ((self.of_class, squares[0], rows, y), (self.of_member, squares[1], inner, v)):
+            for table, past, met, index, error in ((self.of_class, squares[0], seen[0], rows, y), (self.of_member, squares[1], seen[1], inner, v)):
                 flat = index.ravel()
                 order = np.argsort(flat, kind="stable")
                 flat = flat[order]
                 first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
                 g = np.add.reduceat(error[order % len(c)], first, axis=0)
                 touched = flat[first]
+                met[touched] += np.diff(np.append(first, len(flat)))
                 past[touched] += np.einsum("ij,ij->i", g, g)
                 table[touched] -= (RATE / np.sqrt(1 + past[touched]))[:, None] * g
 
 
-def learned(vocabulary: Vocabulary):
-    """(text) to this task's weights, as (table, first row, task, tokens, values)."""
+WEIGHTS = "weights binary, seen binary, squares binary"
+
+
+def learned(vocabulary: Vocabulary, start: tuple, past: tuple):
+    """(text) to what this task adds to the weights it starts from, as (table, part, team, weights, seen, squares)."""
 
     def run(batches):
         model = Model(vocabulary)
-        squares, total = (np.zeros(1 << CLASS_BITS, np.float32), np.zeros(1 << MEMBER_BITS, np.float32)), 0
+        model.of_class, model.of_member = (x.copy() for x in start)
+        squares, seen = tuple(x.copy() for x in past), tuple(np.zeros(len(x)) for x in start)
         for batch in batches:
             for _, _, data, offsets in blocks(batch.column(0)):
                 h, bucket, _, begins = tokens(data, offsets)
                 cls, member = vocabulary.symbols(vocabulary.find(h), bucket)
-                model.learn(model.contexts(h, begins), cls, member, squares)
-                total += len(h)
-        if total:
-            task = TaskContext.get().partitionId()
-            for k, table in enumerate((model.of_class, model.of_member)):
-                n = len(table) // ROWS_TOGETHER
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k] * n, pa.int32()), pa.array(np.arange(n, dtype=np.int32)), pa.array([task // TASKS_TOGETHER] * n, pa.int32()), pa.array([total] * n, pa.int64()),
-                     pa.array([table[i * ROWS_TOGETHER : (i + 1) * ROWS_TOGETHER].astype(np.float16).tobytes() for i in range(n)], pa.binary())],
-                    ["table", "part", "team", "tokens", "weights"])
+                model.learn(model.contexts(h, begins), cls, member, squares, seen)
+        task = TaskContext.get().partitionId()
+        for k, table in enumerate((model.of_class, model.of_member)):
+            added = (table - start[k]).astype(np.float16)
+            parts = [i for i in range(len(table) // ROWS_TOGETHER) if seen[k][i * ROWS_TOGETHER : (i + 1) * ROWS_TOGETHER].any()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k] * len(parts), pa.int32()), pa.array(parts, pa.int32()), pa.array([task // TASKS_TOGETHER] * len(parts), pa.int32()),
+                 *(pa.array([x[i * ROWS_TOGETHER : (i + 1) * ROWS_TOGETHER].tobytes() for i in parts], pa.binary()) for x in (added, seen[k], squares[k]))],
+                ["table", "part", "team", "weights", "seen", "squares"])
 
     return run
 
 
 def averaged(key, table):
-    """The mean of the parts, by their tokens."""
-    n = table.column("tokens").to_numpy().astype(np.float64)
-    total = np.zeros(len(table.column("weights")[0].as_py()) // 2)
-    for share, x in zip(n / n.sum(), table.column("weights"), strict=True):
-        total += share * np.frombuffer(x.as_py(), np.float16)
-    names = [f for f in table.schema.names if f not in ("tokens", "weights")]
-    return pa.table({**{c: table.column(c)[:1] for c in names}, "tokens": pa.array([int(n.sum())], pa.int64()), "weights": pa.array([total.astype(np.float16).tobytes()], pa.binary())})
+    """The means of each row's additions and squares over the parts, by how often each part met the row."""
+    seen = [np.frombuffer(x.as_py(), np.float64) for x in table.column("seen")]
+    total = np.sum(seen, axis=0)
+    weights, squares = 0.0, 0.0
+    for n, w, s in zip(seen, table.column("weights"), table.column("squares"), strict=True):
+        share = n / np.maximum(total, 1)
+        weights = weights + share[:, None] * np.frombuffer(w.as_py(), np.float16).reshape(len(n), -1)
+        squares = squares + share * np.frombuffer(s.as_py(), np.float32)
+    names = [f for f in table.schema.names if f not in ("weights", "seen", "squares")]
+    return pa.table({**{c: table.column(c)[:1] for c in names}, **{c: pa.array([x.tobytes()], pa.binary()) for c, x in
+                     (("weights", weights.astype(np.float16)), ("seen", total), ("squares", squares.astype(np.float32)))}})
+
+
+def trained(training: DataFrame, vocabulary: Vocabulary) -> Model:
+    """The model after all rounds."""
+    model, small = Model(vocabulary), vocabulary.small()
+    tables = model.of_class, model.of_member
+    squares = tuple(np.zeros(len(x), np.float32) for x in tables)
+    for k in range(TRAIN_ROUNDS):
+        own = training.filter(F.pmod(F.xxhash64("text"), F.lit(TRAIN_ROUNDS)) == k)
+        weights = own.mapInArrow(learned(small, tables, squares), f"table int, part int, team int, {WEIGHTS}")
+        weights = weights.groupBy("table", "part", "team").applyInArrow(averaged, f"table int, part int, team int, {WEIGHTS}")
+        weights = weights.drop("team").groupBy("table", "part").applyInArrow(averaged, f"table int, part int, {WEIGHTS}")
+        for r in weights.collect():  # the two tables, of fixed size
+            rows = slice(r["part"] * ROWS_TOGETHER, (r["part"] + 1) * ROWS_TOGETHER)
+            tables[r["table"]][rows] += np.frombuffer(r["weights"], np.float16).reshape(ROWS_TOGETHER, -1)
+            met = np.frombuffer(r["seen"], np.float64) > 0
+            squares[r["table"]][rows][met] = np.frombuffer(r["squares"], np.float32)[met]
+    return model
 
 
 def scored(vocabulary: Vocabulary, model: Model):
@@ -253,13 +283,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         masses[r["bucket"]] += float(r["m"])
     vocabulary = Vocabulary(head, total, different, masses)
 
-    weights = training.mapInArrow(learned(vocabulary.small()), "table int, part int, team int, tokens long, weights binary")
-    weights = weights.groupBy("table", "part", "team").applyInArrow(averaged, "table int, part int, team int, tokens long, weights binary")
-    weights = weights.drop("team").groupBy("table", "part").applyInArrow(averaged, "table int, part int, tokens long, weights binary")
-    model = Model(vocabulary)
-    for r in weights.collect():  # the two tables, of fixed size
-        table = (model.of_class, model.of_member)[r["table"]]
-        table[r["part"] * ROWS_TOGETHER : (r["part"] + 1) * ROWS_TOGETHER] = np.frombuffer(r["weights"], np.float16).reshape(ROWS_TOGETHER, -1)
+    model = trained(training, vocabulary)
 
     kind = source.schema["doc_id"].dataType.simpleString()
     keyed = source.withColumn("key", F.monotonically_increasing_id()).select("key", "doc_id", "held_out", "text")
