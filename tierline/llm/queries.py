@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontamination, html, language, maxent, packing, pii, quality, similarity, toxicity, warc
+from tierline.llm import (conversation, decontamination, embedding, html, language, maxent, packing, periodicity, pii, quality,
+                          similarity, toxicity, warc)
 from tierline.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +139,24 @@ def op10(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2)
     scored = toxicity.toxicity(table(spark, sf_dir, "documents"), labels)
     return scored.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op11_conversation_repair")
+def op11(spark, sf_dir):
+    """Every conversation's faults after the damage, and the cheapest repair."""
+    return conversation.repair(conversation.damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_quality_classifier")
+def op12(spark, sf_dir):
+    """Every document's quality, learned from three quarters of the labels."""
+    labels = table(spark, sf_dir, "labels").filter(fold("doc_id", 4) != 2)
+    scored = embedding.quality(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= embedding.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    """The periodic runs of every document, one in ten with a repeated tail."""
+    return periodicity.find(table(spark, sf_dir, "documents"), repeat_tails=True).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
