@@ -440,7 +440,7 @@ def repair(rows: DataFrame, piece_rows: int = PIECE_ROWS, piece_bytes: int = PIE
     order = [F.col("conv").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("role"), F.xxhash64("text")]
     ranged = rows.withColumn("_n", F.monotonically_increasing_id()).repartitionByRange(*order, F.col("_n")).drop("_n").sortWithinPartitions(*order)
     schema = f"conv {kind}, {RESULT}, {PIECE}"
-    found = ranged.select("conv", "turn", "role", "text", code.cast("int"), F.col("copies").cast("int")).mapInArrow(locally(arrow, piece_rows, piece_bytes), schema)
+    found = ranged.select("conv", "turn", "role", "text", code.cast("int").alias("code"), F.col("copies").cast("int").alias("copies")).mapInArrow(locally(arrow, piece_rows, piece_bytes), schema)
     found = materialize(spark, found)
     done = found.filter("pid IS NULL").select("conv", *NAMES[:8])
     pieces = found.filter("pid IS NOT NULL").select("conv", *NAMES[8:])
