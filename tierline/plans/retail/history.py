@@ -61,21 +61,19 @@ def _table(spark, label):
     )
 
 
-def _stream(spark, batches, target):
-    """Write each batch to a folder of its own and read the folders as one stream."""
-    root = work_dir(spark, "feed")
-    for i, b in enumerate(batches):
-        b.select(*target.feed_schema.names).write.parquet(f"{root}/part={i}")
-    files = spark.readStream.schema(target.feed_schema).option("maxFilesPerTrigger", 16)
-    return files.parquet(root)
+def _feed_stream(spark, root, target):
+    """The folders below `root` as a stream of states."""
+    return spark.readStream.schema(target.feed_schema).parquet(root)
 
 
 @query("scd2_incremental", WITH_H + "SELECT * FROM h")
 def scd2_incremental(spark, sf):
-    """Orders arrive by status, so every batch reaches back over the whole history."""
-    orders, target = table(spark, sf, "orders"), _table(spark, "incremental")
-    done, rest = F.col("o_orderstatus") == "F", F.coalesce(F.col("o_orderstatus") != "F", F.lit(True))
-    target.run(_stream(spark, [orders.where(done), orders.where(rest)], target))
+    """Orders arrive by status, one micro-batch each, so every batch reaches back over the whole history."""
+    orders, target, root = table(spark, sf, "orders"), _table(spark, "incremental"), work_dir(spark, "feed")
+    status = F.coalesce("o_orderstatus", F.lit(""))
+    for i, part in enumerate((status == "F", status == "O", ~status.isin("F", "O"))):
+        orders.where(part).select(*target.feed_schema.names).write.parquet(f"{root}/part={i}")
+        target.run(_feed_stream(spark, root, target))
     return target.read().select(*COLS)
 
 
@@ -101,8 +99,9 @@ def scd2_replay(spark, sf):
 @query("full_refresh", WITH_H + "SELECT * FROM h")
 def full_refresh(spark, sf):
     """Everything replayed into a new table under a new checkpoint."""
-    orders, first = table(spark, sf, "orders"), _table(spark, "before")
-    stream = _stream(spark, [orders], first)
+    orders, first, root = table(spark, sf, "orders"), _table(spark, "before"), work_dir(spark, "feed")
+    orders.select(*first.feed_schema.names).write.parquet(f"{root}/part=0")
+    stream = _feed_stream(spark, root, first)
     first.run(stream)
     again = _table(spark, "refreshed")
     again.run(stream)

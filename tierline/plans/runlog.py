@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tierline.functions.columns import event_metric
 from tierline.registry import Settings, batch_rules
-from tierline.sources.lake import Lake, read_or_create
+from tierline.sources.lake import Lake, read_or_empty
 
 # Run states.
 RUNNING, SUCCESS, NO_OP, FAILED = "RUNNING", "SUCCESS", "NO_OP", "FAILED"
@@ -210,13 +210,13 @@ class RunLog:
         self._append(events, PIPELINE_EVENTS, "pipeline_events")
 
     def runs(self) -> DataFrame:
-        return run_state(read_or_create(self.lake.spark, self.lake.path("metadata", "run_events"), RUN_EVENTS))
+        return run_state(read_or_empty(self.lake.spark, self.lake.path("metadata", "run_events"), RUN_EVENTS))
 
     def dq_results(self) -> DataFrame:
-        return read_or_create(self.lake.spark, self.lake.path("metadata", "dq_results"), DQ_RESULTS)
+        return read_or_empty(self.lake.spark, self.lake.path("metadata", "dq_results"), DQ_RESULTS)
 
     def events(self) -> DataFrame:
-        return read_or_create(self.lake.spark, self.lake.path("metadata", "pipeline_events"), PIPELINE_EVENTS)
+        return read_or_empty(self.lake.spark, self.lake.path("metadata", "pipeline_events"), PIPELINE_EVENTS)
 
     def health(self, settings: Settings) -> DataFrame:
         return health(self.runs(), self.dq_results(), settings).orderBy(F.col("started_at").desc())

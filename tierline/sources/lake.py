@@ -11,6 +11,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,14 +39,29 @@ PUBLICATIONS = T.StructType(
 )
 
 
-def read_or_create(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                   partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """The table at ``path``, made empty first where there is none. Doing so twice is harmless."""
-    empty = spark.createDataFrame([], schema).write.mode("ignore").format(fmt)
-    if partition_by:
-        empty = empty.partitionBy(*partition_by)
-    empty.save(path)
-    return spark.read.schema(schema).format(fmt).load(path)
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """The table at ``path``, or an empty one where there is none. Reading never writes."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+@dataclass(frozen=True)
+class File:
+    path: str
+    size: int
+    modified: int
+
+
+def files(spark: SparkSession, pattern: str) -> list[File]:
+    """Visible files a path pattern matches, by path: a listing, no file is opened."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
+    listed = [File(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found if not f.isDirectory()]
+    return sorted((f for f in listed if f.path.rsplit("/", 1)[-1][0] not in "._"), key=lambda f: f.path)
 
 
 @dataclass(frozen=True)
@@ -69,7 +85,7 @@ class Lake:
         return self.path("metadata", "publications")
 
     def log(self) -> DataFrame:
-        return read_or_create(self.spark, self.log_path, PUBLICATIONS, "json")
+        return read_or_empty(self.spark, self.log_path, PUBLICATIONS, "json")
 
     def published(self) -> dict[tuple[str, str], Published]:
         """The current folder of every table: one row per table, read in one job."""

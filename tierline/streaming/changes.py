@@ -1,9 +1,9 @@
 """Change feeds and history kept up to date from them.
 
 The feed is stored by key bucket. A micro-batch writes its rows into the feed, then rebuilds the
-histories of the keys it changed from all their rows in the feed, and copies the other histories
-of the buckets concerned. History is a function of the feed, so late, repeated and unordered
-changes come out right without a special case, and doing a batch again changes nothing.
+histories of the keys it changed from all their rows in the feed and adds them as a delta; other
+histories are neither read nor copied. History is a function of the feed, so late, repeated and
+unordered changes come out right without a special case, and doing a batch again changes nothing.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections import Counter
 from dataclasses import dataclass
 from queue import Queue
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
@@ -20,7 +20,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 from tierline.operators.history import END, START, scd2
 from tierline.operators.shaping import typed_select
 from tierline.session import materialize
-from tierline.sources.lake import read_or_create
+from tierline.sources.deltas import DeltaTable
+from tierline.sources.lake import files, read_or_empty
 
 BUCKETS = 64
 
@@ -71,7 +72,7 @@ def run_feed(feed: DataFrame, path: str, checkpoint: str) -> int:
 
 @dataclass(frozen=True)
 class HistoryTable:
-    """A history fed by changes, stored in ``buckets`` parts: the unit a batch rewrites."""
+    """A history fed by changes. A batch costs what it changes: it adds the new histories of its keys as a delta."""
 
     spark: SparkSession
     path: str
@@ -83,21 +84,19 @@ class HistoryTable:
     tiebreak: tuple[str, ...] = ()
     audit: tuple[str, ...] = ()
     buckets: int = BUCKETS
+    max_deltas: int = 8
 
     @property
     def feed_path(self) -> str:
         return f"{self.path}/feed"
 
-    @property
-    def dim_path(self) -> str:
-        return f"{self.path}/dim"
-
     @property
     def checkpoint(self) -> str:
         return f"{self.path}/checkpoint"
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+    @property
+    def versions(self) -> DeltaTable:
+        return DeltaTable(self.spark, f"{self.path}/dim", self.dim_schema(), self.keys, self.buckets, self.max_deltas)
 
     def build(self, feed: DataFrame) -> DataFrame:
         return scd2(feed, self.keys, self.seq, self.tracked, self.carried, self.tiebreak, self.audit)
@@ -113,55 +112,35 @@ class HistoryTable:
 
     def feed(self) -> DataFrame:
         stored = T.StructType(list(self.feed_schema.fields))
-        stored = stored.add("_bucket", T.IntegerType()).add("_batch", T.LongType())
-        return read_or_create(self.spark, self.feed_path, stored, partition_by=("_bucket", "_batch"))
-
-    def _stored(self) -> DataFrame:
-        stored = self.dim_schema().add("_bucket", T.IntegerType())
-        return read_or_create(self.spark, self.dim_path, stored, partition_by=("_bucket",))
+        return read_or_empty(self.spark, self.feed_path, stored.add("_bucket", T.IntegerType()).add("_batch", T.LongType()))
 
     def read(self) -> DataFrame:
-        return self._stored().drop("_bucket")
+        return self.versions.read()
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
         """Take one batch. Taking the same batch again changes nothing."""
         rows = changes.select(*self.feed_schema.names)
         for k in (*self.keys, self.seq):
             rows = rows.where(F.col(k).isNotNull())
-        # only the partitions of this batch are replaced, so a repeated batch is not doubled;
-        # the extra number spreads a bucket with one very common key over several writers
-        spread = F.pmod(F.xxhash64(F.col(self.seq)), F.lit(8))
+        # only the partitions of this batch are replaced, so a repeated batch is not doubled
         (
-            rows.withColumn("_bucket", self._bucket())
+            rows.withColumn("_bucket", self.versions.bucket())
             .withColumn("_batch", F.lit(batch_id).cast("long"))
-            .repartition("_bucket", spread)
+            .hint("rebalance", "_bucket")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_bucket", "_batch")
             .parquet(self.feed_path)
         )
-        # at most ``buckets`` numbers, read from the names of the partitions just written
-        mine = self.feed().where(F.col("_batch") == batch_id)
-        touched = [r["_bucket"] for r in mine.select("_bucket").distinct().collect()]
+        # at most ``buckets`` numbers, from the names of the folders just written
+        written = files(self.spark, f"{self.feed_path}/_bucket=*/_batch={batch_id}/*")
+        touched = sorted({int(f.path.rsplit("/_bucket=", 1)[1].split("/")[0]) for f in written})
         if not touched:
             return
-        mine = mine.where(F.col("_bucket").isin(touched))
+        mine = self.feed().where((F.col("_batch") == batch_id) & F.col("_bucket").isin(touched))
         changed = materialize(self.spark, mine.select(*self.keys).distinct())
-        stored = self._stored().where(F.col("_bucket").isin(touched))
-        feed = self.feed().where(F.col("_bucket").isin(touched)).drop("_batch")
-
-        # histories of the changed keys are built anew, all others of their buckets are copied;
-        # the result is complete before the first bucket is replaced
-        rebuilt = self.build(feed.join(changed, list(self.keys), "left_semi"))
-        kept = stored.join(changed, list(self.keys), "left_anti")
-        fresh = materialize(self.spark, kept.unionByName(rebuilt.withColumn("_bucket", self._bucket())))
-        (
-            fresh.repartition("_bucket", F.pmod(F.xxhash64(START), F.lit(8)))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_bucket")
-            .parquet(self.dim_path)
-        )
+        feed = self.feed().where(F.col("_bucket").isin(touched)).drop("_batch", "_bucket")
+        self.versions.write(self.build(feed.join(changed, list(self.keys), "left_semi")), changed)
 
     def run(self, stream: DataFrame, checkpoint: str | None = None) -> int:
         """Apply everything a streaming feed holds, then stop; rows taken."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.sources.lake import read_or_create
+from tierline.sources.lake import read_or_empty
 from tierline.sources.landing import CORRUPT, headers, read_by_header, text_schema
 
 FILES_PER_BATCH = 1000
@@ -77,11 +77,11 @@ class Bronze:
 
     def sources(self) -> DataFrame:
         """Rows per delivered batch, as counted when its files were taken."""
-        return read_or_create(self.spark, self.sources_path, SOURCES, partition_by=("batch",))
+        return read_or_empty(self.spark, self.sources_path, SOURCES)
 
     def columns(self) -> list[str]:
         """Every column any batch brought, oldest first."""
-        seen = read_or_create(self.spark, self.columns_path, COLUMNS, "json", ("batch",))
+        seen = read_or_empty(self.spark, self.columns_path, COLUMNS, "json")
         first = seen.groupBy("name").agg(F.min(F.struct("batch", "position")).alias("at"))
         return [r["name"] for r in first.orderBy("at").collect()]
 
@@ -97,12 +97,16 @@ class Bronze:
     def read(self) -> DataFrame:
         """All rows; a column a file did not have is NULL in its rows."""
         stored = self.schema().add("_batch", T.LongType())
-        return read_or_create(self.spark, self.data, stored, partition_by=("_batch",)).drop("_batch")
+        return read_or_empty(self.spark, self.data, stored).drop("_batch")
+
+    def read_since(self, batch: int) -> DataFrame:
+        """Rows of later batches, with their batch number; the others' folders are not opened."""
+        stored = self.schema().add("_batch", T.LongType())
+        return read_or_empty(self.spark, self.data, stored).where(F.col("_batch") > batch)
 
     def since(self, batch: int) -> tuple[int, int, list[str]]:
         """What came after a batch: rows, the newest batch, and the ids of the deliveries."""
-        data = read_or_create(self.spark, self.data, self.schema().add("_batch", T.LongType()), partition_by=("_batch",))
-        new = data.where(F.col("_batch") > batch)
+        new = self.read_since(batch)
         n, newest = new.agg(F.count(F.lit(1)), F.max("_batch")).first()
         brought = self.sources().where((F.col("batch") > batch) & F.col("batch_id").isNotNull())
         return n, batch if newest is None else newest, [r["batch_id"] for r in brought.select("batch_id").distinct().collect()]
