@@ -109,7 +109,7 @@ def test_verification_and_diagnosis(mart):
     assert fact["coverage"].first()["entities"] == 3 and fact["orphans"].count() == 0
     silver = verification.diagnose_silver(pipe, "crime")
     assert silver["keys"].first().asDict() == {"bronze_rows": 9, "null_keys": 0, "duplicated_grains": 0}
-    assert silver["flow"].first()["drop_pct"] == 0.0 and silver["rules"].count() == 2
+    assert silver["flow"].first()["drop_pct"] == 0.0 and silver["rules"].count() == 3
     assert [r["message"].split()[-1] for r in silver["order"].collect()][0] == "raw_crime"
     latest = runlog.rows_written_by_latest(pipe.log.events()).first()
     assert latest["update_id"] == "r1" and latest["rows_written"] > 0
@@ -188,9 +188,11 @@ def test_lost_values_batch_rules_and_repeated_batches_are_recorded(spark, tmp_pa
     with open(root / "crime" / "crime_2.csv", "a") as f:
         f.write("S8,2011,5,SYNTHETIC,b2,surplus\n")
     assert pipe.run("a").status == "SUCCESS"
-    found = {(r["batch_id"], r["rule_name"]): (r["rows_evaluated"], r["rows_failed"]) for r in pipe.log.dq_results().collect()}
+    found = pipe.log.dq_results().where("entity = 'crime'").collect()
+    found = {(r["batch_id"], r["rule_name"]): (r["rows_evaluated"], r["rows_failed"]) for r in found}
     assert found == {
         ("b1", "code_there"): (9, 0), ("b2", "code_there"): (2, 0),
+        ("b1", "source_is_configured"): (9, 0), ("b2", "source_is_configured"): (2, 0),
         ("b2", "cast_failed__period"): (2, 1), ("b2", "cast_failed__offence_count_total"): (2, 1),
         (None, "one_period"): (11, 3), (None, "many_rows"): (1, 1),
     }

@@ -52,14 +52,21 @@ def marked(df: DataFrame, rules) -> DataFrame:
     return df.withColumn("failed_rules", failed_names([r for r in rules if r.row_level]))
 
 
-def marked_counts(df: DataFrame, rules) -> dict[str, int]:
+def marked_counts(df: DataFrame, rules, whole: DataFrame | None = None) -> dict[str, int]:
     """Rows and violations of a marked table, batch rules included: duplicated keys of a ``unique``
-    rule, 1 for a table shorter than ``row_count_min``."""
+    rule, 1 for a table shorter than ``row_count_min``.
+
+    Batch rules judge ``whole``, of which ``df`` may be the part that is new; all of them in one query.
+    """
     rows = [F.count_if(F.array_contains("failed_rules", r.name)).alias(f"failed__{r.name}") for r in rules if r.row_level]
     counts = df.agg(F.count(F.lit(1)).alias("n"), *rows).first().asDict()
-    for r in batch_rules(rules):
-        short = r.type == "row_count_min"
-        counts[f"failed__{r.name}"] = int(counts["n"] < r.min) if short else duplicates(df, list(r.columns)).count()
+    counts["n_whole"] = counts["n"]
+    batch = batch_rules(rules)
+    if batch:
+        whole = df if whole is None else whole
+        doubled = [duplicates(whole, list(r.columns)).agg(F.count(F.lit(1))).scalar().alias(f"failed__{r.name}") for r in batch if r.type == "unique"]
+        counts |= whole.agg(F.count(F.lit(1)).alias("n_whole")).select("n_whole", *doubled).first().asDict()
+        counts |= {f"failed__{r.name}": int(counts["n_whole"] < r.min) for r in batch if r.type == "row_count_min"}
     return counts
 
 
@@ -116,18 +123,19 @@ class Breach:
 def breaches(counts: dict[str, int], rules: list[Rule]) -> list[Breach]:
     """What must stop the run, given ``n`` and the ``failed__<rule>`` counts of a load."""
     n = counts.get("n") or 0
+    whole = counts.get("n_whole", n)
     out = []
     for r in rules:
         failed = counts.get(f"failed__{r.name}") or 0
         if r.type == "row_count_min":
-            if r.severity == "FATAL" and n < r.min:
-                out.append(Breach(r.name, f"{n} rows, at least {r.min} expected"))
+            if r.severity == "FATAL" and whole < r.min:
+                out.append(Breach(r.name, f"{whole} rows, at least {r.min} expected"))
         elif r.severity == "FATAL" and failed:
             out.append(Breach(r.name, "duplicated keys" if r.type == "unique" else f"{failed} of {n} rows violate it"))
     for r in escalation_rules(rules):
         failed = counts.get(f"failed__{r.name}") or 0
         # a table is long enough or it is not: that rule has one thing to judge
-        of = 1 if r.type == "row_count_min" else n
+        of = 1 if r.type == "row_count_min" else n if r.row_level else whole
         if of and 100.0 * failed / of > r.fail_if_violation_pct_above:
             out.append(Breach(r.name, f"{failed} of {of} rows, above {r.fail_if_violation_pct_above} %"))
     return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,15 +62,20 @@ def build_fact(
     )
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, grain: list[str]) -> DataFrame:
-    """Rows of ``incoming`` replace those of ``existing`` with the same grain; the rest stays."""
-    replaced = incoming.select(*grain).dropDuplicates()
-    same = None
-    renamed = replaced.select(*[F.col(c).alias(f"_g_{c}") for c in grain])
-    for c in grain:
-        one = existing[c].eqNullSafe(renamed[f"_g_{c}"])
-        same = one if same is None else same & one
-    return existing.join(renamed, same, "left_anti").unionByName(incoming)
+def upsert(existing: DataFrame, incoming: DataFrame, grain: list[str], replaced: DataFrame | None = None) -> DataFrame:
+    """Rows of ``incoming`` replace those of ``existing`` with the same grain; the rest stays.
+
+    ``replaced`` names the grains that go, if they are more than those of ``incoming``.
+    """
+    replaced = (incoming if replaced is None else replaced).select(*grain).dropDuplicates()
+    return without(existing, replaced, grain).unionByName(incoming)
+
+
+def without(rows: DataFrame, grains: DataFrame, grain: list[str], how: str = "left_anti") -> DataFrame:
+    """Rows whose grain is not (``left_semi``: is) among the given ones, NULL being a value like any other."""
+    renamed = grains.select(*[F.col(c).alias(f"_g_{c}") for c in grain])
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(renamed[f"_g_{c}"]) for c in grain])
+    return rows.join(renamed, same, how)
 
 
 def group_label(dim: DataFrame, code: str, name: str) -> DataFrame:

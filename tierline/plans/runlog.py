@@ -192,7 +192,7 @@ class RunLog:
                 {"run_id": F.lit(run_id), "entity": F.lit(e.name), "evaluated_at": F.lit(now)}
             ).select(*DQ_RESULTS.names).write.mode("append").parquet(self.lake.path("metadata", "dq_results"))
             for r in batch_rules(e.rules):
-                n = 1 if r.type == "row_count_min" else counts["n"]
+                n = 1 if r.type == "row_count_min" else counts["n_whole"]
                 failed = counts[f"failed__{r.name}"]
                 rate = (n - failed) / n if n else None
                 rows.append((run_id, None, e.name, r.name, r.severity, n, n - failed, failed, rate, now))

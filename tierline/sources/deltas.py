@@ -93,6 +93,10 @@ class DeltaTable:
                 raise ValueError(f"{self.path} has {r['buckets']} buckets, not {self.buckets}")
         return sorted(Folder(r["bucket"], r["seq"], r["since"], r["bytes"]) for r in found)
 
+    def newest(self) -> int:
+        """Number of the newest folder; -1 before the first."""
+        return max((f.seq for f in self.live()), default=ALL)
+
     # ---- reading ----------------------------------------------------------------------------
 
     def read(self) -> DataFrame:

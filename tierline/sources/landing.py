@@ -3,29 +3,25 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Source systems a load may name.
-SOURCE_SYSTEMS = ("SYNTHETIC",)
-
+# a file is one task, so that its first lines are the first ones there
+WHOLE_FILES = {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50)}
+# a quote that is still open after so many lines is taken for a mistake
+MAX_HEADER_LINES = 512
 
 # A line with more or fewer fields than its header is kept whole in this column.
 CORRUPT = "corrupt_record"
 
 
-def validate_source_system(name: str) -> str:
-    if name not in SOURCE_SYSTEMS:
-        raise ValueError(f"no load may come from {name!r}; known sources: {', '.join(SOURCE_SYSTEMS)}")
-    return name
-
-
 def stamp(df: DataFrame, batch_id: str | Column, source_system: str = "SYNTHETIC", period: str = "period") -> DataFrame:
     """Add ``source_system``, ``batch_id`` and, where absent, the mid-year ``effective_ts``."""
     batch = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
-    out = df.withColumn("source_system", F.lit(validate_source_system(source_system))).withColumn("batch_id", batch)
+    out = df.withColumn("source_system", F.lit(source_system)).withColumn("batch_id", batch)
     if "effective_ts" not in df.columns and period in df.columns:
         text = F.concat(F.col(period).cast("string"), F.lit("-07-01T00:00:00"))
         out = out.withColumn("effective_ts", text)
@@ -49,20 +45,36 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+def first_record(spark: SparkSession, path: str) -> str | None:
+    """The first CSV record of a file: its first line, and more if a quote is still open at the end of it.
+
+    A task reads from the beginning of the file and stops after these lines.
+    """
+    n = 1
+    while True:
+        lines = [r["value"] for r in spark.read.text(path).limit(n).collect()]
+        quotes = 0
+        for i, line in enumerate(lines):
+            quotes += line.count('"')
+            if quotes % 2 == 0:
+                return "\n".join(lines[: i + 1])
+        if len(lines) < n or n >= MAX_HEADER_LINES:
+            return "\n".join(lines) if lines else None
+        n *= 8
+
+
+def headers(spark: SparkSession, paths: list[str], side_by_side: int = 16) -> dict[str, tuple[str, ...]]:
     """Header of each file, as file path -> column names.
 
-    The first line of a file is the one with the smallest (block start, position in the task).
-    It is found by an aggregate with a partial step, so tasks send one line per file at most;
-    the driver gets one line per file of a batch, whose number the caller bounds.
+    What is read of a file is bounded by a few buffers, whatever its size. The driver gets one record per file of
+    a batch, whose number the caller bounds; the small jobs run side by side.
     """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-        "value",
-    )
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    return {r["file"]: tuple(next(csv.reader([r["header"].lstrip("﻿")]))) for r in first.collect()}
+    whole = spark.newSession()
+    for key, value in WHOLE_FILES.items():
+        whole.conf.set(key, value)
+    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
+        found = dict(zip(paths, pool.map(lambda p: first_record(whole, p), paths)))
+    return {p: tuple(next(csv.reader(r.lstrip("\ufeff").splitlines(keepends=True)))) for p, r in found.items() if r and r.strip()}
 
 
 def read_by_header(spark: SparkSession, by_header: dict[tuple[str, ...], list[str]], multiline: bool = False) -> DataFrame:
@@ -77,7 +89,7 @@ def read_by_header(spark: SparkSession, by_header: dict[tuple[str, ...], list[st
             spark.read.schema(text_schema([*names, *kept]))
             .option("columnNameOfCorruptRecord", CORRUPT if kept else "")
             .option("header", True)
-            .option("multiLine", multiline)
+            .option("multiLine", multiline or any("\n" in c for c in names))
             .option("escape", '"')
             .option("enforceSchema", True)
             .csv(sorted(files))

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.sources.lake import read_or_empty
+from tierline.sources.lake import files, read_or_empty
 from tierline.sources.landing import CORRUPT, headers, read_by_header, text_schema
 
 FILES_PER_BATCH = 1000
+# per table, the files its column list was read from and the list
+_COLUMNS: dict[str, tuple] = {}
 
 # rows of the file listing; the content column is never asked for, so no file is opened
 FILES = T.StructType(
@@ -80,10 +82,13 @@ class Bronze:
         return read_or_empty(self.spark, self.sources_path, SOURCES)
 
     def columns(self) -> list[str]:
-        """Every column any batch brought, oldest first."""
-        seen = read_or_empty(self.spark, self.columns_path, COLUMNS, "json")
-        first = seen.groupBy("name").agg(F.min(F.struct("batch", "position")).alias("at"))
-        return [r["name"] for r in first.orderBy("at").collect()]
+        """Every column any batch brought, oldest first. Asked for again only when there are new lists."""
+        listed = files(self.spark, f"{self.columns_path}/batch=*/*")
+        if _COLUMNS.get(self.columns_path, (None, None))[0] != listed:
+            seen = read_or_empty(self.spark, self.columns_path, COLUMNS, "json")
+            first = seen.groupBy("name").agg(F.min(F.struct("batch", "position")).alias("at"))
+            _COLUMNS[self.columns_path] = listed, [r["name"] for r in first.orderBy("at").collect()]
+        return list(_COLUMNS[self.columns_path][1])
 
     def schema(self) -> T.StructType:
         names = self.columns()
