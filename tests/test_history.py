@@ -106,6 +106,33 @@ def test_overlap_check_finds_a_broken_history(spark):
     assert sorted(r["k"] for r in hist.overlaps(df, ["k"]).collect()) == ["A", "C"]
 
 
+@pytest.mark.parametrize("limit", [None, 10, 3])
+def test_overlap_check_is_the_same_however_a_key_is_cut(spark, limit):
+    """Segments of ten versions: overlaps and gaps lie inside them and exactly on the cuts."""
+    rows = [("hot", i, i + 1) for i in range(100)] + [("k", 1, 5), ("k", 4, None)]
+    for at, end in ((9, 11), (19, 20), (29, 29), (50, 70), (89, None), (95, 97)):
+        rows[at] = ("hot", at, end)
+    rows += [("hot", 40, 41)] * 2
+    df = spark.createDataFrame(rows, f"k string, {hist.START} int, {hist.END} int")
+    got = sorted((r["k"], r[hist.START], r["next_start"]) for r in hist.overlaps(df, ["k"], limit).collect())
+    assert got == sorted([("hot", 9, 10), ("hot", 40, 40), ("hot", 40, 40), ("hot", 50, 51), ("hot", 89, 90), ("hot", 95, 96), ("k", 1, 4)])
+
+
+def test_a_key_with_a_long_history_goes_its_own_way(spark):
+    rows = [("long", i, i + 1 if i < 499 else None, f"L{i}") for i in range(500)] + [(f"k{i}", 10 * j, 10 * j + 10 if j < 2 else None, f"{i}-{j}") for i in range(20) for j in range(3)]
+    v = spark.createDataFrame(rows, V_SCHEMA)
+    rnd = random.Random(7)
+    facts = [(rnd.choice(["long", "long", None, "none", *(f"k{i}" for i in range(20))]), rnd.randrange(-5, 520), i) for i in range(800)]
+    f = spark.createDataFrame(facts, "k string, at long, id int")
+    joined = temporal_join(f, v, "k", F.col("at"), ["label"])
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Window" in plan and "_v_start" in plan
+    want = {i: next((x for a, s, e, x in rows if a == k and s <= at and (e is None or at < e)), None) for k, at, i in facts}
+    assert {r["id"]: r["label"] for r in joined.collect()} == want
+    short = temporal_join(f, v, "k", F.col("at"), ["label"], most=500)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in short
+
+
 def test_plain_plan_needs_one_shuffle(spark):
     df = spark.createDataFrame(SEQUENCE, SCHEMA)
     plan = hist.scd2(df, ["k"], "seq", ["name"], ["area"], ["tie"])

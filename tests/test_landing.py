@@ -136,3 +136,22 @@ def test_a_cluster_needs_a_shared_folder():
 
     assert on_one_machine("local") and on_one_machine("local[8]")
     assert not any(on_one_machine(m) for m in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077", "k8s://https://host"))
+
+
+def test_a_materialized_table_is_built_again_when_its_input_has_changed(spark, tmp_path):
+    lake, built = Lake(spark, str(tmp_path / "lake")), []
+
+    def ask(version, by=None):
+        def build():
+            built.append(version)
+            return spark.createDataFrame([(1, version, "a"), (2, version, "b")], "year int, v int, t string")
+
+        return sorted(map(tuple, lake.materialized("reporting", f"mart_{by}", {"fact": version}, build, by).collect()))
+
+    for by in (None, "year"):
+        built.clear()
+        assert ask(1, by) == ask(1, by) == [(1, 1, "a"), (2, 1, "b")] and built == [1]
+        assert ask(2, by) == ask(2, by) == [(1, 2, "a"), (2, 2, "b")] and built == [1, 2]
+    mart = lake.read("reporting", "mart_year").where("year = 2").select("v")
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "ReadSchema: struct<v:int>" in plan

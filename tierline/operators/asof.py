@@ -8,15 +8,19 @@ from pyspark.sql import functions as F
 from tierline.functions.columns import interval_holds
 from tierline.operators import skew
 from tierline.operators.history import END, START
+from tierline.session import materialize
 
 # A key with at most this many versions is resolved by an equi join with an interval condition;
 # beyond it, every row would be compared with too many versions of its key.
 MAX_VERSIONS_TO_COMPARE = 64
 
 
-def max_versions(versions: DataFrame, key: str) -> int:
-    counted = versions.groupBy(key).count().agg(F.max("count"))
-    return counted.first()[0] or 0
+def long_keys(versions: DataFrame, key: str, most: int) -> DataFrame | None:
+    """Keys with more than ``most`` versions, or None. Versions are counted per key before they are shuffled."""
+    found = versions.groupBy(F.col(key).alias("_long")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    found = materialize(versions.sparkSession, found.where(F.col("_long").isNotNull()).select("_long"))
+    n = found.count()
+    return None if not n else F.broadcast(found) if n <= skew.MAX_BROADCAST_KEYS else found
 
 
 def _interval(facts, versions, key, at, version_key, attrs) -> DataFrame:
@@ -82,16 +86,23 @@ def temporal_join(
     version_key: str | None = None,
     method: str = "auto",
     limit: int | None = None,
+    most: int = MAX_VERSIONS_TO_COMPARE,
 ) -> DataFrame:
     """Left lookup of ``attrs`` from the version of ``key`` valid at ``at``; NULL where none is.
 
-    ``auto`` measures the history: short ones join on the key with an interval condition (a hot
-    key on the row side is then split by adaptive execution), long ones are merged.
+    ``auto`` counts the versions of each key and sends every key its own way: with few versions an equi join
+    with an interval condition (a hot key on the row side is then split by adaptive execution), with more
+    than ``most`` of them an ordered merge. One key with a long history costs the others nothing.
     """
     version_key = version_key or key
     if method == "auto":
-        short = max_versions(versions, version_key) <= MAX_VERSIONS_TO_COMPARE
-        method = "interval" if short else "merge"
+        long = long_keys(versions, version_key, most)
+        if long is None:
+            return _interval(facts, versions, key, at, version_key, attrs)
+        of_fact, of_version = F.col(key) == F.col("_long"), F.col(version_key) == F.col("_long")
+        short = _interval(facts.join(long, of_fact, "left_anti"), versions.join(long, of_version, "left_anti"), key, at, version_key, attrs)
+        return short.unionByName(
+            _merge(facts.join(long, of_fact, "left_semi"), versions.join(long, of_version, "left_semi"), key, at, version_key, attrs, limit))
     if method == "interval":
         return _interval(facts, versions, key, at, version_key, attrs)
     if method == "merge":

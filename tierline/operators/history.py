@@ -151,11 +151,17 @@ def aliases(dim: DataFrame) -> DataFrame:
     )
 
 
-def overlaps(dim: DataFrame, keys: list[str]) -> DataFrame:
-    """Versions that reach past the start of the key's next version, or stay open before it."""
-    w = Window.partitionBy(*keys).orderBy(START)
-    after = F.lead(START).over(w)
-    return (
-        dim.withColumn("next_start", after)
-        .where(F.col("next_start").isNotNull() & (F.col(END).isNull() | (F.col(END) > F.col("next_start"))))
-    )
+def overlaps(dim: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+    """Versions that reach past the start of the key's next version, or stay open before it.
+
+    Versions of a hot key are swept in contiguous segments; the first start of a segment is carried to
+    the last version of the one before it.
+    """
+    order = [START, END]
+    cold, hot = skew.split_hot(dim, list(keys), order, limit)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    swept = cold.withColumn("next_start", F.lead(START).over(w))
+    if hot is not None:
+        after = skew.lead_across(hot, list(keys), order, F.struct(START), "_next")
+        swept = swept.unionByName(after.withColumn("next_start", F.col(f"_next.{START}")).drop("_next", skew.SEGMENT))
+    return swept.where(F.col("next_start").isNotNull() & (F.col(END).isNull() | (F.col(END) > F.col("next_start"))))

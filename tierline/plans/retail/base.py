@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from tierline.functions.columns import exact_round, hundredths, ratio, scaled
 from tierline.operators import history as hist
 from tierline.operators.star import build_fact, dim_year, star_rows
-from tierline.session import materialize, tune
+from tierline.session import shared_dir, tune
+from tierline.sources.lake import Lake, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,10 +52,32 @@ def history(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     )
 
 
+# ---- the star that reports read: built once, again when its input has changed ----------------
+
+#: Changed when the tables of the star are computed in another way.
+LAYOUT = 1
+
+
+def star(spark: SparkSession) -> Lake:
+    return Lake(spark, f"{shared_dir(spark).rstrip('/')}/retail-star")
+
+
+def fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> dict:
+    """What a table of the star is made from: the files of its input tables, from their listing."""
+    found = [f for t in tables for f in (*files(spark, f"{sf_dir}/{t}.parquet"), *files(spark, f"{sf_dir}/{t}.parquet/*"))]
+    return {"layout": LAYOUT, "files": [[f.path, f.size, f.modified] for f in found]}
+
+
+def published(spark: SparkSession, sf_dir: str, name: str, tables: list[str], build: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
+    """A table of the star for one input folder."""
+    place = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
+    return star(spark).materialized("gold", f"{name}-{place}", fingerprint(spark, sf_dir, tables), build, by)
+
+
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published dimension: stored once, since several steps read it."""
-    dim = hist.with_surrogate_key(history(spark, sf_dir), ["o_custkey"], "customer_sk")
-    return materialize(spark, dim)
+    """The published dimension."""
+    return published(spark, sf_dir, "dim_customer", ["orders"],
+                     lambda: hist.with_surrogate_key(history(spark, sf_dir), ["o_custkey"], "customer_sk"))
 
 
 H = """
@@ -168,17 +192,22 @@ s AS (SELECT n_nationkey, n_name, n_regionkey, r_name, year_sk AS year, n.*
 """
 
 
-def nation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mart rows with nation, region label and year: what every report starts from.
+PLACE = ["n_nationkey", "n_name", "n_regionkey", "r_name", "year"]
 
-    Stored once (nations x years rows), as reports read it for their extremes as well.
-    """
+
+def build_nation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mart rows with nation, region label and year, from the input tables."""
     from tierline.plans.reports import labelled
 
     nation = table(spark, sf_dir, "nation").withColumn("nation_sk", F.col("n_nationkey"))
     region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    rows = labelled(
+    return labelled(
         nation_years(spark, sf_dir), nation, region, dim_year(spark), "nation_sk",
         ["n_nationkey", "n_name"], "n_regionkey", "r_name",
     )
-    return materialize(spark, rows)
+
+
+def nation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every report starts from: the mart as published, in one folder per year."""
+    inputs = ["lineitem", "orders", "customer", "nation", "region"]
+    return published(spark, sf_dir, "mart_nation_years", inputs, lambda: build_nation_rows(spark, sf_dir), "year")

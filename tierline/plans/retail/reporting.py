@@ -10,11 +10,11 @@ from tierline.operators.checks import combine
 from tierline.operators.scoring import Factor, Mode
 from tierline.operators.shaping import top
 from tierline.plans import reports
-from tierline.plans.retail.base import NATIONS, nation_rows, query, table
-from tierline.session import materialize
+from tierline.plans.retail.base import NATIONS, PLACE, build_nation_rows, nation_rows, query, table
+from tierline.session import materialize, work_dir
+from tierline.sources.lake import Lake
 
 WITH_S = f"WITH {NATIONS} "
-PLACE = ["n_nationkey", "n_name", "n_regionkey", "r_name", "year"]
 PLACE_SQL = "n_nationkey, n_name, n_regionkey, r_name, year"
 
 # Reference frequencies and weights of the three modes.
@@ -55,6 +55,16 @@ q5 AS (SELECT c.n_nationkey, c.n_name, c.n_regionkey, c.r_name, c.avg_price AS c
 """
 
 
+MEASURES = ["lines", "quantity", "revenue", "avg_price", *(f"{m}_{f}" for m in ("lines", "freq", "coverage") for f in "ran")]
+
+
+@query("star_build", WITH_S + f"SELECT {PLACE_SQL}, {', '.join(MEASURES)} FROM s")
+def star_build(spark, sf):
+    """The mart the reports read, built from the input tables and published in a lake of its own."""
+    lake = Lake(spark, work_dir(spark, "star"))
+    return lake.materialized("gold", "mart_nation_years", {}, lambda: build_nation_rows(spark, sf), "year").select(*PLACE, *MEASURES)
+
+
 @query("q1", WITH_S + f"SELECT {PLACE_SQL}, lines, {_fmt('lines')} AS lines_fmt, quantity, revenue, {_fmt('revenue')} AS revenue_fmt FROM s")
 def q1(spark, sf):
     """Volume profile over all years."""

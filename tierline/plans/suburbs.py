@@ -1,6 +1,7 @@
 """The suburb profile mart: six question views, a health view, eight chart datasets.
 
-Everything is a plan over published gold tables; nothing is stored.
+Each fact is published with its labels as a table by year, which is built again when a table it is made from
+was published anew. The views are plans over these tables; nothing else is stored.
 """
 
 from __future__ import annotations
@@ -33,30 +34,30 @@ BANDS = ["pop_0_14", "pop_15_24", "pop_25_44", "pop_45_64", "pop_65_plus"]
 PRICES = ["median_house_price", "median_unit_price", "median_rent_weekly"]
 
 
-def _rows(lake: Lake, subject: str) -> DataFrame:
-    return reports.labelled(
-        lake.read("gold", f"fact_{subject}"),
-        lake.read("gold", "dim_suburb_ref"),
-        lake.read("gold", "dim_lga_ref"),
-        lake.read("gold", "dim_year"),
-        "suburb_ref_sk",
-        ["sal_code", "suburb_name"],
-        "lga_code",
-        "lga_name",
-    )
+def _rows(lake: Lake, now: dict, subject: str) -> DataFrame:
+    """A fact with its labels and years, one folder per year: built again when a table it is made from was published anew."""
+    tables = [f"fact_{subject}", "dim_suburb_ref", "dim_lga_ref", "dim_year"]
+    made_from = {t: now["gold", t].version for t in tables}
+
+    def build() -> DataFrame:
+        fact, suburbs, lgas, years = (lake.open(now["gold", t]) for t in tables)
+        return reports.labelled(fact, suburbs, lgas, years, "suburb_ref_sk", ["sal_code", "suburb_name"], "lga_code", "lga_name")
+
+    return lake.materialized("reporting", f"mart_{subject}", made_from, build, "year")
 
 
-def _fact_years(lake: Lake, subject: str) -> DataFrame:
-    """Years a fact covers, whether or not its rows resolved."""
-    years = lake.read("gold", "dim_year")
-    used = lake.read("gold", f"fact_{subject}").select("year_sk").distinct()
+def _fact_years(lake: Lake, now: dict, subject: str) -> DataFrame:
+    """Years a fact covers, whether or not its rows resolved: its partitions name them."""
+    years = lake.open(now["gold", "dim_year"])
+    used = lake.open(now["gold", f"fact_{subject}"]).select("year_sk").distinct()
     return years.join(used, "year_sk", "left_semi").select("year")
 
 
 def views(lake: Lake) -> dict[str, DataFrame]:
     """The question views, each keeping ``sal_code`` so that later joins use the key."""
+    now = lake.published()
     demo, transport, crime, edu, prop = (
-        _rows(lake, s) for s in ("demographics", "transport", "crime", "education", "property")
+        _rows(lake, now, s) for s in ("demographics", "transport", "crime", "education", "property")
     )
     key = ["sal_code", *PLACE]
     q5 = scoring.growth(prop, "sal_code", ["suburb_name", "lga_code", "lga_name"], "median_house_price")
@@ -67,11 +68,11 @@ def views(lake: Lake) -> dict[str, DataFrame]:
             ["population_total", "median_household_income_weekly"],
         ),
         "vw_q2_transport_connectivity": reports.connectivity(
-            transport, key, MODES, _fact_years(lake, "transport")
+            transport, key, MODES, _fact_years(lake, now, "transport")
         ).orderBy(F.col("connectivity_index").desc()),
         "vw_q3_low_crime": reports.trend(crime, key, ["offence_count_total"]).orderBy("suburb_name", "year"),
         "vw_q4_top_schools": reports.newest(
-            edu, key, ["govt_school_count", "mean_icsea"], of=_fact_years(lake, "education")
+            edu, key, ["govt_school_count", "mean_icsea"], of=_fact_years(lake, now, "education")
         ).orderBy(F.col("mean_icsea").desc()),
         "vw_q5_affordable_growth": q5.orderBy(F.col("current_median").asc(), F.col("cagr_pct").desc()),
         "vw_q6_most_expensive": reports.trend(prop, key, PRICES, PRICES).orderBy("suburb_name", "year"),
