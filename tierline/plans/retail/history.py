@@ -162,11 +162,11 @@ def temporal_join_merged(spark, sf):
 MIXED = WITH_H + """,
   account AS (SELECT o_orderpriority AS label, o_orderdate + to_microseconds(o_orderkey) AS s,
                 lead(o_orderdate + to_microseconds(o_orderkey)) OVER (ORDER BY o_orderdate + to_microseconds(o_orderkey)) AS e FROM orders),
-  l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, CASE WHEN l_linenumber = 2 THEN 0 ELSE o_custkey END AS account
+  l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, CASE WHEN l_linenumber = 2 THEN -1 ELSE o_custkey END AS account
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
-  SELECT l.*, o_orderpriority AS label, "__START_AT" AS start_at FROM (SELECT * FROM l WHERE account <> 0) l
+  SELECT l.*, o_orderpriority AS label, "__START_AT" AS start_at FROM (SELECT * FROM l WHERE account <> -1) l
     LEFT JOIN h ON o_custkey = account AND l_shipdate >= "__START_AT" AND ("__END_AT" IS NULL OR l_shipdate < "__END_AT")
-  UNION ALL SELECT l.*, label, s FROM (SELECT * FROM l WHERE account = 0) l ASOF LEFT JOIN account ON l_shipdate >= s"""
+  UNION ALL SELECT l.*, label, s FROM (SELECT * FROM l WHERE account = -1) l ASOF LEFT JOIN account ON l_shipdate >= s"""
 
 
 @query("temporal_join_mixed", MIXED)
@@ -174,13 +174,13 @@ def temporal_join_mixed(spark, sf):
     """One account that every order gives a new version, among customers with a few versions each: both ways in one plan."""
     orders = table(spark, sf, "orders")
     exact = F.timestamp_add("MICROSECOND", F.col("o_orderkey"), F.col("o_orderdate"))
-    everything = hist.scd2(orders.select(F.lit(0).cast("long").alias("o_custkey"), "o_orderkey", exact.alias("at"), "o_orderpriority"),
+    everything = hist.scd2(orders.select(F.lit(-1).cast("long").alias("o_custkey"), "o_orderkey", exact.alias("at"), "o_orderpriority"),
                            ["o_custkey"], "at", ["o_orderkey"], ["o_orderpriority"])
     wanted = ["o_custkey", "o_orderpriority", hist.START, hist.END]
     versions = materialize(spark, history(spark, sf).select(*wanted).unionByName(everything.select(*wanted)))
     lines = order_lines(spark, sf).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate",
-        F.when(F.col("l_linenumber") == 2, 0).otherwise(F.col("o_custkey")).cast("long").alias("account"))
+        F.when(F.col("l_linenumber") == 2, -1).otherwise(F.col("o_custkey")).cast("long").alias("account"))
     bound = temporal_join(lines, versions, "account", F.col("l_shipdate"), ["o_orderpriority", hist.START], "o_custkey")
     return bound.withColumnsRenamed({"o_orderpriority": "label", hist.START: "start_at"})
 
