@@ -102,8 +102,8 @@ def test_views_and_datasets(mart):
 def test_verification_and_diagnosis(mart):
     _, lake, pipe, _ = mart
     found = {r["check"]: r for r in verification.verify(pipe, suburbs.views(lake)).collect()}
-    assert {r["result"] for r in found.values()} == {"PASS"} and len(found) == 2 + 5 + 4 + 10 + 6
-    assert found["row flow: crime"]["detail"] == "rows reach fact (9)"
+    assert {r["result"] for r in found.values()} == {"PASS"} and len(found) == 2 + 5 + 4 + 15 + 6
+    assert found["crime flows through all layers"]["detail"] == "9 > 9 > 9"
     fact = verification.diagnose_fact(pipe, "crime")
     assert rows(fact["by_year"], "year", "resolved", "unknown") == [(y, 3, 0) for y in YEARS]
     assert fact["coverage"].first()["entities"] == 3 and fact["orphans"].count() == 0

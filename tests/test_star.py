@@ -83,11 +83,30 @@ def test_row_flow_and_verdicts(spark):
 
 def test_a_no_op_run_is_healthy(spark):
     runs = spark.createDataFrame([("SUCCESS", 5, 1), ("NO_OP", 0, 2)], "status string, rows_written long, started_at int")
-    assert [r["result"] for r in checks.report(spark, checks.run_checks(runs)).collect()] == ["PASS", "PASS"]
+    assert [r["result"] for r in checks.run_checks(runs).collect()] == ["PASS", "PASS"]
     failed = runs.union(spark.createDataFrame([("FAILED", 0, 3)], runs.schema))
-    assert [r["result"] for r in checks.report(spark, checks.run_checks(failed)).collect()] == ["FAIL", "WARN"]
+    assert [r["result"] for r in checks.run_checks(failed).collect()] == ["FAIL", "WARN"]
 
 
 def test_unknown_rate_warns_above_half(spark):
     f = spark.createDataFrame([(-1,), (-1,), (5,)], "sk int")
     assert checks.unknown_rate(f, "sk").first()["result"] == "WARN"
+
+
+def test_one_pass_per_table_finds_what_is_wrong(spark, dim):
+    f = fact(spark, dim, [("A", 1999, 1, "x"), ("A", 1999, 2, "x"), ("B", 2000, 3, "x"), ("Z", 2000, 4, "x"), ("B", 1960, 5, "x")])
+    years, grain = star.dim_year(spark), ["sk", "year_sk"]
+    assert checks.fact_summary(f, dim, years, "sk", grain).first().asDict() == {"rows": 5, "doubled": 1, "no_member": 0, "no_year": 0, "unknown": 2}
+    half, few = dim.where("code = 'A'"), years.where("year > 1999")
+    assert checks.fact_summary(f, half, few, "sk", grain).first().asDict() == {"rows": 5, "doubled": 1, "no_member": 1, "no_year": 2, "unknown": 2}
+    with pytest.raises(ValueError, match="year_sk"):
+        checks.fact_summary(f, dim, years, "sk", ["sk"])
+    measured = checks.summaries({"fact_a": (f, half, few, "sk", grain)}, {"dim_a": (dim.unionByName(half), "sk", "code")}, {"vw": f.limit(0)}, {"a": (f, f)})
+    found = {r["check"]: (r["result"], r["detail"]) for r in checks.table_checks(measured, 30.0).collect()}
+    assert found == {
+        "a flows through all layers": ("PASS", "5 > 5 > 5"),
+        "dim_a has one row per surrogate key": ("FAIL", "doubled: 2"), "dim_a has one open version per key": ("FAIL", "open twice: 1"),
+        "fact_a has one row per grain": ("FAIL", "doubled: 1"),
+        "fact_a refers to members and years that exist": ("FAIL", "rows without member: 1, without year: 2"),
+        "fact_a knows its members": ("WARN", "unknown %: 40.0"), "vw answers": ("WARN", "rows: 0"),
+    }

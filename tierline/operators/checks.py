@@ -8,13 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.columns import OPEN_END, UNKNOWN_SK, exact_round
 from tierline.operators.history import END, START
-from tierline.operators.quality import duplicates
-from tierline.operators.star import orphan_keys
 
 UNKNOWN_LIMIT_PCT = 50.0  # fixed value: share of unknown members that raises a warning
 
@@ -23,45 +21,33 @@ def _count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def _rows(spark: SparkSession, structs: list[Column]) -> DataFrame:
-    """One row per struct, the NULL ones left out. The scalar subqueries inside run side by side."""
-    return spark.range(1).select(F.explode(F.array(*structs)).alias("r")).where("r IS NOT NULL").select("r.*")
-
-
 def row_flow(layers: dict[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
     """Rows per entity in the raw, typed and fact layer, the share lost on the way, a status."""
-    parts = [
-        F.struct(
-            F.lit(i).alias("idx"),
-            F.lit(entity).alias("entity"),
-            *[_count(t).scalar().alias(n) for t, n in zip(tables, ("bronze", "silver", "fact"))],
-        )
-        for i, (entity, tables) in enumerate(layers.items(), 1)
-    ]
-    flow = _rows(next(iter(layers.values()))[0].sparkSession, parts)
+    return flow_of_summaries(summaries({}, {}, {}, layers)).drop("at")
+
+
+def with_flow(rows: DataFrame) -> DataFrame:
+    """Share lost and status of (idx, entity, bronze, silver, fact); further columns stay."""
     b, s, f = F.col("bronze"), F.col("silver"), F.col("fact")
     status = (
         F.when((b > 0) & (s == 0), "FAIL").when((s > 0) & (f == 0), "FAIL").when(f > 0, "OK").otherwise("EMPTY")
     )
-    return flow.select(
-        "idx",
-        "entity",
-        "bronze",
-        "silver",
-        "fact",
-        (b - s).alias("dropped"),
-        exact_round(F.lit(100.0) * (b - s) / F.nullif(b, F.lit(0)), 1).cast("double").alias("drop_pct"),
-        status.alias("status"),
-    )
+    return rows.withColumns({
+        "dropped": b - s,
+        "drop_pct": exact_round(F.lit(100.0) * (b - s) / F.nullif(b, F.lit(0)), 1).cast("double"),
+        "status": status,
+    })
 
 
 def dim_sanity(dim: DataFrame, sk: str, keys: list[str]) -> DataFrame:
-    """Duplicated surrogate keys, and business keys with more than one open version."""
-    open_versions = dim.where(F.col(END).isNull())
-    return dim.sparkSession.range(1).select(
-        _count(duplicates(dim, [sk])).scalar().alias("duplicated_keys"),
-        _count(duplicates(open_versions, keys)).scalar().alias("keys_with_two_open"),
-    )
+    """Duplicated surrogate keys, and business keys with more than one open version: one scan, one shuffle."""
+    key = F.to_json(F.struct(*keys)) if len(keys) > 1 else F.col(keys[0]).cast("string")
+    ids = dim.select(F.inline(F.array(
+        F.struct(F.lit(True).alias("of_sk"), F.col(sk).cast("string").alias("id"), F.lit(1).alias("n")),
+        F.struct(F.lit(False).alias("of_sk"), key.alias("id"), F.col(END).isNull().cast("int").alias("n")),
+    )))
+    per_id = ids.groupBy("of_sk", "id").agg(F.sum("n").alias("n")).where("n > 1")
+    return per_id.agg(F.count_if("of_sk").alias("duplicated_keys"), F.count_if(~F.col("of_sk")).alias("keys_with_two_open"))
 
 
 def dim_coverage(dim: DataFrame, keys: list[str]) -> DataFrame:
@@ -118,101 +104,119 @@ def key_health(raw: DataFrame, key: str, grain: list[str]) -> DataFrame:
 
 
 # ---- checks as rows -------------------------------------------------------------------------
-# A check is one struct of (ord, sub, check, result, detail) over scalar subqueries; ``report``
-# makes a table of any number of them in one plan.
+# Every table is summed up in one row by one grouped pass over it; its checks are read off that row.
+# `summaries` computes all these rows in one query, so each table is scanned once, however many checks it has.
+
+
+def fact_summary(fact: DataFrame, dim: DataFrame, years: DataFrame, sk: str, grain: list[str]) -> DataFrame:
+    """One row: rows, doubled grains, rows whose key or year no dimension has, rows on the unknown member.
+
+    The grain holds both keys, so a row per grain is all that meets the dimensions.
+    """
+    if not {sk, "year_sk"} <= set(grain):
+        raise ValueError(f"the grain {grain} lacks {sk} or year_sk")
+    per_grain = fact.groupBy(*grain).agg(F.count(F.lit(1)).alias("rows"))
+    known = dim.select(F.col(sk).alias("_sk")).distinct().withColumn("_there", F.lit(True))
+    calendar = years.select(F.col("year_sk").alias("_year")).distinct().withColumn("_dated", F.lit(True))
+    met = per_grain.join(known, F.col(sk) == F.col("_sk"), "left").join(F.broadcast(calendar), F.col("year_sk") == F.col("_year"), "left")
+    known_member, known_year = F.col(sk) != UNKNOWN_SK, F.col("year_sk") != UNKNOWN_SK
+
+    def rows(when: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(when, F.col("rows"))), F.lit(0)).alias(name)
+
+    return met.agg(
+        rows(F.lit(True), "rows"),
+        F.count_if(F.col("rows") > 1).alias("doubled"),
+        rows(known_member & F.col("_there").isNull(), "no_member"),
+        rows(known_year & F.col("_dated").isNull(), "no_year"),
+        rows(~known_member, "unknown"),
+    )
 
 
-def _check(ord_: int, sub: int, name: str, result: Column, detail: Column) -> Column:
-    return F.struct(
-        F.lit(ord_).alias("ord"),
-        F.lit(sub).alias("sub"),
-        F.lit(name).alias("check"),
-        result.alias("result"),
-        detail.alias("detail"),
-    )
+FACT, DIM, VIEW, LAYERS = "fact", "dimension", "view", "layers"
+MEASURED = ("rows", "doubled", "no_member", "no_year", "unknown", "twice_open", "bronze", "silver")
+
+
+def _measured(rows: DataFrame, kind: str, at: int, name: str) -> DataFrame:
+    held = [F.col(c).cast("long").alias(c) if c in rows.columns else F.lit(None).cast("long").alias(c) for c in MEASURED]
+    return rows.select(F.lit(kind).alias("kind"), F.lit(at).alias("at"), F.lit(name).alias("name"), *held)
 
 
-def _text(c: Column) -> Column:
-    return c.cast("string")
+def summaries(facts: dict[str, tuple], dims: dict[str, tuple], views: dict[str, DataFrame], layers: dict[str, tuple]) -> DataFrame:
+    """One row per table: facts are (fact, dimension, years, key, grain), dimensions (rows, key, business key),
+    layers the raw and the typed rows of an entity, with its fact's rows where they are not among `facts`."""
+    parts = [_measured(fact_summary(*f), FACT, i, n) for i, (n, f) in enumerate(facts.items())]
+    for i, (name, (dim, sk, key)) in enumerate(dims.items()):
+        sane = dim_sanity(dim, sk, [key]).withColumnsRenamed({"duplicated_keys": "doubled", "keys_with_two_open": "twice_open"})
+        parts.append(_measured(sane, DIM, i, name))
+    parts += [_measured(_count(v).withColumnRenamed("n", "rows"), VIEW, i, n) for i, (n, v) in enumerate(views.items())]
+    for i, (name, tables) in enumerate(layers.items()):
+        for column, t in zip(("bronze", "silver", "rows"), tables):
+            parts.append(_measured(_count(t).withColumnRenamed("n", column), LAYERS, i, name))
+    return combine(parts)
 
 
-def _pass_if(ok: Column, otherwise: str = "FAIL") -> Column:
-    return F.when(ok, "PASS").otherwise(otherwise)
+def _text(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-def run_checks(runs: DataFrame) -> list[Column]:
-    """Status and rows of the newest run. A run that found nothing new is as good as a success."""
-    run = runs.agg(F.max_by(F.struct("status", "rows_written"), "started_at").alias("r")).scalar()
-    state = F.coalesce(run.getField("status"), F.lit("<none>"))
-    rows = F.coalesce(run.getField("rows_written"), F.lit(0))
-    return [
-        _check(10, 0, "run health: latest run status",
-               _pass_if(state.isin("SUCCESS", "NO_OP")), F.concat(F.lit("status="), state)),
-        _check(11, 0, "run health: rows written",
-               _pass_if((rows > 0) | (state == "NO_OP"), "WARN"), F.concat(F.lit("rows_written="), _text(rows))),
-    ]
+def _verdict(stage: int, part: int, name: Column, ok: Column, detail: Column, otherwise: str = "FAIL") -> Column:
+    result = F.when(ok, "PASS").otherwise(otherwise)
+    return F.struct(F.lit(stage).alias("stage"), F.lit(part).alias("part"), name.alias("check"), result.alias("result"), detail.alias("detail"))
+
+
+def run_checks(runs: DataFrame) -> DataFrame:
+    """How the newest run ended and what it wrote. A run that found nothing new is as good as a success."""
+    run = runs.agg(F.max_by(F.struct("status", "rows_written"), "started_at").alias("r"))
+    state, rows = F.coalesce("r.status", F.lit("no run yet")), F.coalesce("r.rows_written", F.lit(0))
+    return run.select(F.inline(F.array(
+        _verdict(0, 0, F.lit("newest run ended well"), state.isin("SUCCESS", "NO_OP"), state),
+        _verdict(0, 1, F.lit("newest run wrote rows"), (rows > 0) | (state == "NO_OP"), _text(rows), "WARN"),
+    ))).withColumn("at", F.lit(0))
+
+
+def table_checks(measured: DataFrame, unknown_limit: float = UNKNOWN_LIMIT_PCT) -> DataFrame:
+    """The checks of all tables, from their summaries."""
+    n, name = F.col, F.col("name")
+    pct = exact_round(F.lit(100) * n("unknown") / F.nullif(n("rows"), F.lit(0)), 1).cast("double")
+    of_fact = F.array(
+        _verdict(3, 0, F.concat(name, F.lit(" has one row per grain")), n("doubled") == 0, F.concat(F.lit("doubled: "), _text("doubled"))),
+        _verdict(3, 1, F.concat(name, F.lit(" refers to members and years that exist")), (n("no_member") == 0) & (n("no_year") == 0),
+                 F.concat(F.lit("rows without member: "), _text("no_member"), F.lit(", without year: "), _text("no_year"))),
+        _verdict(3, 2, F.concat(name, F.lit(" knows its members")), ~F.coalesce(pct > unknown_limit, F.lit(False)),
+                 F.concat(F.lit("unknown %: "), F.coalesce(_text(pct), F.lit("-"))), "WARN"),
+    )
+    of_dim = F.array(
+        _verdict(2, 0, F.concat(name, F.lit(" has one row per surrogate key")), n("doubled") == 0, F.concat(F.lit("doubled: "), _text("doubled"))),
+        _verdict(2, 1, F.concat(name, F.lit(" has one open version per key")), n("twice_open") == 0, F.concat(F.lit("open twice: "), _text("twice_open"))),
+    )
+    of_view = F.array(_verdict(4, 0, F.concat(name, F.lit(" answers")), n("rows") > 0, F.concat(F.lit("rows: "), _text("rows")), "WARN"))
+    alone = measured.where(F.col("kind") != LAYERS)
+    found = alone.select("at", F.inline(F.when(F.col("kind") == FACT, of_fact).when(F.col("kind") == DIM, of_dim).otherwise(of_view)))
+    flow = flow_of_summaries(measured).drop("at")
+    return found.unionByName(flow_checks(flow).withColumnRenamed("idx", "at"))
+
+
+def flow_of_summaries(measured: DataFrame) -> DataFrame:
+    """The row flow of the measured entities; an entity's fact is called ``fact_<entity>``."""
+    layers = measured.where(F.col("kind") == LAYERS).groupBy("name").agg(
+        F.max("at").alias("at"), F.max("bronze").alias("bronze"), F.max("silver").alias("silver"), F.max("rows").alias("own"))
+    facts = measured.where(F.col("kind") == FACT).select(F.col("name").alias("_fact"), "rows")
+    rows = layers.join(facts, F.col("_fact") == F.concat(F.lit("fact_"), "name"), "left")
+    return with_flow(rows.select("at", (F.col("at") + 1).alias("idx"), F.col("name").alias("entity"), "bronze", "silver", F.coalesce("own", "rows", F.lit(0)).alias("fact")))
 
 
 def flow_checks(flow: DataFrame) -> DataFrame:
     """The row flow as checks: one per entity."""
     result = F.when(F.col("status") == "OK", "PASS").when(F.col("status") == "FAIL", "FAIL").otherwise("WARN")
-    b, s, f = F.col("bronze"), F.col("silver"), F.col("fact")
-    detail = (
-        F.when((b > 0) & (s == 0), F.concat(F.lit("silver empty though bronze has "), _text(b), F.lit(" rows")))
-        .when((s > 0) & (f == 0), F.concat(F.lit("fact empty though silver has "), _text(s), F.lit(" rows")))
-        .when(f > 0, F.concat(F.lit("rows reach fact ("), _text(f), F.lit(")")))
-        .otherwise("no rows anywhere")
-    )
-    return flow.select(
-        F.lit(20).alias("ord"), F.col("idx").alias("sub"),
-        F.concat(F.lit("row flow: "), F.col("entity")).alias("check"),
-        result.alias("result"), detail.alias("detail"),
-    )
+    detail = F.concat(_text("bronze"), F.lit(" > "), _text("silver"), F.lit(" > "), _text("fact"))
+    return flow.select("idx", F.lit(1).alias("stage"), F.lit(0).alias("part"), F.concat("entity", F.lit(" flows through all layers")).alias("check"),
+                       result.alias("result"), detail.alias("detail"))
 
 
-def dim_checks(name: str, dim: DataFrame, sk: str, key: str, ord_: int = 30) -> list[Column]:
-    row = dim_sanity(dim, sk, [key])
-    found = row.select(F.struct("duplicated_keys", "keys_with_two_open").alias("s")).scalar()
-
-    def one(ord_, title, n, what):
-        return _check(ord_, 0, f"dim sanity: {title}", _pass_if(n == 0),
-                      F.when(n == 0, "").otherwise(F.concat(_text(n), F.lit(what))))
-
-    return [
-        one(ord_, f"{name}.{sk} unique", found.getField("duplicated_keys"), " duplicated key(s)"),
-        one(ord_ + 1, f"{name} one open version per {key}", found.getField("keys_with_two_open"),
-            f" {key}(s) with >1 open version"),
-    ]
-
-
-def fact_checks(name: str, sub: int, fact: DataFrame, dim: DataFrame, years: DataFrame, sk: str,
-                grain: list[str], unknown_limit: float = UNKNOWN_LIMIT_PCT) -> list[Column]:
-    dup = _count(duplicates(fact, grain)).scalar()
-    lost = orphan_keys(fact, dim, sk).agg(F.coalesce(F.sum("fact_rows"), F.lit(0))).scalar()
-    lost_years = orphan_keys(fact, years, "year_sk").agg(F.coalesce(F.sum("fact_rows"), F.lit(0))).scalar()
-    rate = unknown_rate(fact, sk, unknown_limit).select(F.struct("unknown_pct", "result").alias("s")).scalar()
-    whole = (lost == 0) & (lost_years == 0)
-    return [
-        _check(40, sub, f"fact grain: {name}", _pass_if(dup == 0),
-               F.when(dup == 0, f"({', '.join(grain)}) unique").otherwise(
-                   F.concat(_text(dup), F.lit(" duplicated grain row(s)")))),
-        _check(50, sub, f"integrity: {name}", _pass_if(whole),
-               F.when(whole, "no orphan keys").otherwise(
-                   F.concat(F.lit(f"orphan {sk}="), _text(lost), F.lit(" year="), _text(lost_years)))),
-        F.when(rate.getField("result") == "WARN", _check(
-            55, sub, f"integrity: {name} unknown rate", F.lit("WARN"),
-            F.concat(_text(rate.getField("unknown_pct")), F.lit("% on the unknown member")))),
-    ]
-
-
-def serving_check(name: str, sub: int, view: DataFrame) -> Column:
-    n = _count(view).scalar()
-    return _check(60, sub, f"serving: {name}", _pass_if(n > 0, "WARN"), F.concat(_text(n), F.lit(" rows")))
-
-
-def report(spark: SparkSession, checks: list[Column], flow: DataFrame | None = None) -> DataFrame:
-    out = _rows(spark, checks)
-    return out if flow is None else out.unionByName(flow_checks(flow))
+def report(runs: DataFrame, measured: DataFrame, unknown_limit: float = UNKNOWN_LIMIT_PCT) -> DataFrame:
+    """All checks, by stage (run, flow, dimensions, facts, views), table and part."""
+    return run_checks(runs).unionByName(table_checks(measured, unknown_limit))
 
 
 def combine(parts: list[DataFrame]) -> DataFrame:

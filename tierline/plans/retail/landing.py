@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tierline import registry
+from tierline.functions.columns import UNKNOWN_SK, hundredths
+from tierline.operators.checks import combine
+from tierline.operators.history import END
 from tierline.operators.shaping import dedup_latest, distinct_rows, typed_select
 from tierline.plans.pipeline import Pipeline
 from tierline.plans.retail.base import query, table
@@ -141,42 +144,74 @@ def distinct_ref(spark, sf):
     return distinct_rows(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"])
 
 
-@query("assembled_pipeline", """
-  SELECT 'bronze' AS layer, 'raw_customer_ref' AS "table", count(*) AS rows FROM orders
-  UNION ALL SELECT 'bronze', 'raw_sales', count(*) FROM lineitem
-  UNION ALL SELECT 'gold', 'dim_year', 60
-  UNION ALL SELECT 'silver', 'sales_grains', (SELECT count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem)""")
+ASSEMBLED = f"""
+WITH d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(c + ' DESC' for c in LATEST)}) AS rn FROM lineitem) WHERE rn = 1),
+o AS (SELECT *, o_orderdate + to_microseconds(o_orderkey) AS seen FROM orders),
+oc AS (SELECT *, CASE WHEN lag(o_orderkey) OVER w IS NULL OR o_orderpriority IS DISTINCT FROM lag(o_orderpriority) OVER w THEN 1 ELSE 0 END AS opens
+       FROM o WINDOW w AS (PARTITION BY o_custkey ORDER BY seen)),
+ov AS (SELECT *, sum(opens) OVER (PARTITION BY o_custkey ORDER BY seen ROWS UNBOUNDED PRECEDING) AS ver FROM oc),
+dim AS (SELECT o_custkey, ver, min(seen) AS first_seen, arg_max(o_totalprice, seen) AS price FROM ov GROUP BY ALL),
+born AS (SELECT o_custkey, min(first_seen) AS born_at FROM dim GROUP BY 1),
+l AS (SELECT o_custkey, l_orderkey, year(l_shipdate) AS period, l_extendedprice AS price, l_returnflag AS flag, l_linenumber = 1 AND year(l_shipdate) = 1996 AS again,
+        l_quantity + CASE WHEN l_linenumber = 1 AND year(l_shipdate) = 1996 THEN 1 ELSE 0 END AS quantity FROM d JOIN orders ON o_orderkey = l_orderkey),
+j AS (SELECT *, coalesce(quantity BETWEEN 1 AND 45 AND flag IN ('A', 'N', 'R'), false) AS good FROM l),
+f AS (SELECT j.*, born_at <= make_timestamp(period, 7, 1, 0, 0, 0) AS known FROM j LEFT JOIN born USING (o_custkey) WHERE good)
+SELECT 'bronze' AS layer, 'raw_customer_ref' AS "table", count(*) AS rows, count(o_custkey) AS known, sum(o_orderkey)::BIGINT AS total FROM orders
+UNION ALL SELECT 'bronze', 'raw_sales', count(*) + count(*) FILTER (again), count(*) + count(*) FILTER (again), (sum(l_orderkey) + coalesce(sum(l_orderkey) FILTER (again), 0))::BIGINT FROM l
+UNION ALL SELECT 'silver', 'customer_ref_changes', count(*), count(o_custkey), sum(o_orderkey)::BIGINT FROM orders
+UNION ALL SELECT 'silver', 'sales', count(*), count(o_custkey), sum(CAST(quantity AS DECIMAL(18,2)) * 100)::BIGINT FROM j WHERE good
+UNION ALL SELECT 'metadata', 'dq_quarantine_sales', count(*), count(o_custkey), sum(CAST(quantity AS DECIMAL(18,2)) * 100)::BIGINT FROM j WHERE NOT good
+UNION ALL SELECT 'gold', 'dim_customer_ref', count(*), count(DISTINCT o_custkey), sum(CAST(price AS DECIMAL(18,2)) * 100)::BIGINT FROM dim
+UNION ALL SELECT 'gold', 'dim_year', count(*), count(*) FILTER (y % 5 = 1), sum(y)::BIGINT FROM range(1971, 2031) t(y)
+UNION ALL SELECT 'gold', 'fact_sales', count(*), count(*) FILTER (known), sum(CAST(price AS DECIMAL(18,2)) * 100)::BIGINT FROM f
+"""
+
+
+@query("assembled_pipeline", ASSEMBLED)
 def assembled_pipeline(spark, sf):
-    """Files to facts from the packaged configuration; rows per layer of what was published."""
+    """Files to facts from the packaged configuration, delivered in two parts, the second with restated lines. Of
+    each published table: rows, those that resolve, and an exact sum that does not depend on their order."""
     root = work_dir(spark, "assembled")
     orders = table(spark, sf, "orders")
     refs = orders.select(
         F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("orderpriority"),
         F.col("o_totalprice").alias("totalprice"), F.col("o_orderkey").alias("orderkey"),
-        F.col("o_orderdate").alias("effective_ts"),
+        # orders of one day get an order among them
+        F.timestamp_add("MICROSECOND", F.col("o_orderkey"), F.col("o_orderdate")).alias("effective_ts"),
+        (F.coalesce("o_orderstatus", F.lit("")) == "F").alias("early"),
     )
-    lines = table(spark, sf, "lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    # lines of one file tie, so each grain is landed once
+    lines = dedup_latest(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LATEST)
+    lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     sales = lines.select(
         F.col("o_custkey").alias("custkey"), F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber"),
         F.year("l_shipdate").alias("period"), F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("extendedprice"), F.col("l_returnflag").alias("returnflag"),
     )
-    write_csv(stamp(refs, "refs-1"), f"{root}/landing/customer_ref")
-    write_csv(stamp(sales, "sales-1"), f"{root}/landing/sales")
-
+    restated = sales.where("period = 1996 AND linenumber = 1").withColumn("quantity", F.col("quantity") + 1)
     lake = Lake(spark, f"{root}/lake")
     pipe = Pipeline(lake, registry.load(registry.PACKAGED / "retail.toml"), f"{root}/landing")
-    pipe.run("assembled")
-    silver = lake.read("silver", "sales").select("orderkey", "linenumber")
-    dropped = lake.read("metadata", "dq_quarantine_sales").select("orderkey", "linenumber")
-    n = F.count(F.lit(1))
-    counts = [
-        ("bronze", "raw_customer_ref", pipe.bronze(pipe.registry["customer_ref"]).read().agg(n).scalar()),
-        ("bronze", "raw_sales", pipe.bronze(pipe.registry["sales"]).read().agg(n).scalar()),
-        ("gold", "dim_year", lake.read("gold", "dim_year").agg(n).scalar()),
-        ("silver", "sales_grains", silver.unionByName(dropped).agg(n).scalar()),
-    ]
-    row = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("layer"), F.lit(b).alias("table"), c.alias("rows")) for a, b, c in counts
-    ])).alias("r")
-    return spark.range(1).select(row).select("r.*")
+    late = F.coalesce(F.col("period") >= 1997, F.lit(True))
+    for i, (r, s) in enumerate(((refs.where("early"), sales.where(~late)), (refs.where("NOT early"), sales.where(late).unionByName(restated))), 1):
+        write_csv(stamp(r.drop("early"), f"refs-{i}"), f"{root}/landing/customer_ref")
+        write_csv(stamp(s, f"sales-{i}"), f"{root}/landing/sales")
+        pipe.run(f"run-{i}")
+
+    read = lake.reader()
+    number = F.col("orderkey").cast("long")
+    known = F.count("custkey")
+    return combine([
+        _digest(pipe.bronze(pipe.registry["customer_ref"]).read(), "bronze", "raw_customer_ref", known, number),
+        _digest(pipe.bronze(pipe.registry["sales"]).read(), "bronze", "raw_sales", known, number),
+        _digest(read("silver", "customer_ref_changes"), "silver", "customer_ref_changes", known, number),
+        _digest(read("silver", "sales"), "silver", "sales", known, hundredths("quantity")),
+        _digest(read("metadata", "dq_quarantine_sales"), "metadata", "dq_quarantine_sales", known, hundredths("quantity")),
+        _digest(read("gold", "dim_customer_ref"), "gold", "dim_customer_ref", F.count_if(F.col(END).isNull()), hundredths("totalprice")),
+        _digest(read("gold", "dim_year"), "gold", "dim_year", F.count_if("is_census_year"), F.col("year")),
+        _digest(read("gold", "fact_sales"), "gold", "fact_sales", F.count_if(F.col("customer_ref_sk") != UNKNOWN_SK), hundredths("extendedprice")),
+    ])
+
+
+def _digest(df, layer, name, known, value):
+    found = df.agg(F.count(F.lit(1)).alias("rows"), known.alias("known"), F.sum(value).cast("long").alias("total"))
+    return found.select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "rows", "known", "total")

@@ -173,18 +173,19 @@ def key_health(spark, sf):
     return measure_keys(raw, "supplier", ["supplier", "l_orderkey", "l_linenumber"])
 
 
-def flow(spark, sf):
+def flow_tables(spark, sf):
+    """Raw, typed and bound rows of three entities; the last one loses everything."""
     lines, orders, docs = (table(spark, sf, t) for t in ("lineitem", "orders", "documents"))
     silver = quality.keep_valid(dedup_latest(lines, ["l_orderkey", "l_linenumber"], LATEST), LINE_RULES)
     silver = materialize(spark, silver.select("l_orderkey", "l_linenumber"))
     fact = silver.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
     unique_orders = orders.select("o_custkey", "o_orderdate").dropDuplicates()
     nothing = docs.where("n_chars < 0")
-    return flow_of({
+    return {
         "sales": (lines, silver, fact),
         "orders": (orders, unique_orders, unique_orders),
         "documents": (docs, nothing, nothing),
-    })
+    }
 
 
 FLOW = f"""
@@ -203,4 +204,4 @@ flow AS (SELECT *, bronze - silver AS dropped,
 
 @query("row_flow", f"WITH {FLOW} SELECT * FROM flow")
 def row_flow(spark, sf):
-    return flow(spark, sf)
+    return flow_of(flow_tables(spark, sf))

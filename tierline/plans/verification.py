@@ -8,33 +8,31 @@ from pyspark.sql import functions as F
 from tierline.operators import checks
 from tierline.plans.pipeline import Pipeline
 from tierline.plans.runlog import flow_order
+from tierline.session import materialize
 
 
 def row_flow(pipe: Pipeline) -> DataFrame:
     """Rows of each measure in bronze, silver and gold, with what was lost between them."""
-    lake = pipe.lake
+    read = pipe.lake.reader()
     return checks.row_flow({
-        e.name: (pipe.bronze(e).read(), lake.read("silver", e.name), lake.read("gold", f"fact_{e.name}"))
-        for e in pipe.registry.measures
+        e.name: (pipe.bronze(e).read(), read("silver", e.name), read("gold", f"fact_{e.name}")) for e in pipe.registry.measures
     })
 
 
 def verify(pipe: Pipeline, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """All checks as (check, result, detail), in the order of the layers."""
-    lake, registry = pipe.lake, pipe.registry
-    years, limit = lake.read("gold", "dim_year"), registry.settings(pipe.env).unknown_rate_pct
-    parts = checks.run_checks(pipe.log.runs())
-    for i, e in enumerate(registry.references):
-        dim = lake.read("gold", f"dim_{e.name}")
-        parts += checks.dim_checks(f"dim_{e.name}", dim, f"{e.name}_sk", e.keys[0], 30 + 2 * i)
-    for i, e in enumerate(registry.measures, 1):
-        ref, _ = registry.dimension_of(e)
-        sk = f"{ref.name}_sk"
-        fact, dim = lake.read("gold", f"fact_{e.name}"), lake.read("gold", f"dim_{ref.name}")
-        parts += checks.fact_checks(f"fact_{e.name}", i, fact, dim, years, sk, [sk, "year_sk"], limit)
-    parts += [checks.serving_check(n, i, v) for i, (n, v) in enumerate((views or {}).items(), 1)]
-    found = checks.report(lake.spark, parts, row_flow(pipe))
-    return found.orderBy("ord", "sub", "check").select("check", "result", "detail")
+    """All checks as (check, result, detail), in the order of the layers. Every table is read once."""
+    registry, read = pipe.registry, pipe.lake.reader()
+    years = read("gold", "dim_year")
+    dims = {f"dim_{e.name}": (read("gold", f"dim_{e.name}"), f"{e.name}_sk", e.keys[0]) for e in registry.references}
+    facts = {}
+    for e in registry.measures:
+        sk = f"{registry.dimension_of(e)[0].name}_sk"
+        facts[f"fact_{e.name}"] = (read("gold", f"fact_{e.name}"), dims[f"dim_{registry.dimension_of(e)[0].name}"][0], years, sk, [sk, "year_sk"])
+    layers = {e.name: (pipe.bronze(e).read(), read("silver", e.name)) for e in registry.measures}
+    # a row per table
+    measured = materialize(pipe.lake.spark, checks.summaries(facts, dims, views or {}, layers))
+    found = checks.report(pipe.log.runs(), measured, registry.settings(pipe.env).unknown_rate_pct)
+    return found.orderBy("stage", "at", "part").select("check", "result", "detail")
 
 
 def diagnose_fact(pipe: Pipeline, entity: str) -> dict[str, DataFrame]:
