@@ -28,7 +28,7 @@ from tierline.operators.star import build_fact, dim_year, upsert, without
 from tierline.plans import runlog
 from tierline.plans.runlog import RunLog
 from tierline.registry import Entity, Registry, batch_rules, rules_of
-from tierline.session import materialize
+from tierline.session import history_buckets, materialize
 from tierline.sources.lake import Lake, Staged, part
 from tierline.streaming.changes import HistoryTable, change_feed, run_feed
 from tierline.streaming.ingest import Bronze, Ingested, ingest
@@ -106,6 +106,7 @@ class Pipeline:
             (*carried, "source_system", "batch_id", "ingested_at"),
             # the newest arrival wins a tie, then a fixed order of the values
             ("ingested_at", "source_file", *e.track, *carried),
+            buckets=history_buckets(self.spark),
         )
 
     def silver(self, e: Entity, raw: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def _table(spark, label):
     feed = "o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string, o_totalprice double, o_orderkey bigint"
     return HistoryTable(
         spark, work_dir(spark, label), spark.createDataFrame([], feed).schema,
-        ("o_custkey",), "o_orderdate", ("o_orderpriority",), ("o_totalprice",), ("o_orderkey",), buckets=16,
+        ("o_custkey",), "o_orderdate", ("o_orderpriority",), ("o_totalprice",), ("o_orderkey",), buckets=8,
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_TASK_CONF = "tierline.rowsPerTask"
 ROWS_PER_TASK = 5_000_000
+HISTORY_BUCKETS_CONF = "tierline.historyBuckets"
+HISTORY_BUCKETS = 16
 
 # SQL settings every job here counts on; all can be changed on a running session.
 RUNTIME_CONF = {
@@ -42,6 +44,11 @@ def rows_per_task(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_PER_TASK_CONF, str(ROWS_PER_TASK)))
 
 
+def history_buckets(spark: SparkSession) -> int:
+    """Key buckets of a new history: the unit of its compaction, so more of them for larger dimensions."""
+    return int(spark.conf.get(HISTORY_BUCKETS_CONF, str(HISTORY_BUCKETS)))
+
+
 def on_one_machine(master: str) -> bool:
     return master == "local" or master.startswith("local[")
 

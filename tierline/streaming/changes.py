@@ -19,12 +19,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from tierline.operators.history import END, START, scd2
 from tierline.operators.shaping import typed_select
-from tierline.session import materialize
+from tierline.session import HISTORY_BUCKETS, materialize
 from tierline.sources.deltas import DeltaTable
 from tierline.sources.lake import files, read_or_empty
 
-BUCKETS = 64
-
 
 def change_feed(raw: DataFrame, columns, strict: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
     """Typed feed, one row per observed state; works on a stream as on a table."""
@@ -83,7 +81,7 @@ class HistoryTable:
     carried: tuple[str, ...] = ()
     tiebreak: tuple[str, ...] = ()
     audit: tuple[str, ...] = ()
-    buckets: int = BUCKETS
+    buckets: int = HISTORY_BUCKETS
     max_deltas: int = 8
 
     @property
