@@ -293,3 +293,17 @@ def test_html_main_text(spark, sf):
         article = re.search("<article>(.*?)</article>", p.html, re.S).group(1)
         assert r.text == " ".join(references.unescape(re.sub("<[^>]*>", " ", article)).split())
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_html_tags_are_read_as_browsers_read_them():
+    import time
+
+    read = {
+        "<p title=it's>Hello there</p>": "Hello there", '<p "foo>bar</p>': "bar", "<p class='x' id=\"y>z\">t</p>": "t", "<a b='\"'>k</a>": "k",
+        "x&<b>lt;</b> y": "x&lt; y", "<p>a &lt;b&gt; &amp;amp; c</p>": "a <b> &amp; c", "<p><![CDATA[a &lt; b]]></p>": "a &lt; b", "a<br/>b": "a b", "<p>one <b and no end": "one",
+    }
+    assert {page: html.main_text(page) for page in read} == read
+    began = time.perf_counter()
+    for part in ("<a ", '<a b="', "<a b='", "</a ", "<p x='\">", "<!--", "="):
+        html.main_text("<p>text</p>" + part * (300_000 // len(part)))
+    assert time.perf_counter() - began < 20

@@ -24,9 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: A quote counts after an equals sign only, a tag that never ends takes the rest of the page: both as browsers do. What was
+#: read is not tried again in another way, so a page is read once.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?P<own>/?)>", re.S)
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*+>?"
+    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<rest>(?:=\s*+(?>\"[^\"]*+\"|'[^']*+')|[^>])*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?![\w-])""", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -86,13 +88,13 @@ def parse(page: str) -> Node:
     while at < n:
         m = TOKEN.search(page, at)
         if m is None:
-            node.children.append(page[at:])
+            node.children.append(references.unescape(page[at:]))
             break
         if m.start() > at:
-            node.children.append(page[at : m.start()])
+            node.children.append(references.unescape(page[at : m.start()]))
         at = m.end()
         if m["cdata"] is not None:
-            node.children.append(references.escape(m["cdata"]))
+            node.children.append(m["cdata"])
             continue
         name = m["name"]
         if name is None:
@@ -124,7 +126,7 @@ def parse(page: str) -> Node:
         if name in RAW:
             close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
             at = close.end() if close else n
-        elif name not in VOID and not m["own"] and child.depth < DEEPEST:
+        elif name not in VOID and not m["rest"].endswith("/") and child.depth < DEEPEST:
             node = child
     return root
 
@@ -163,7 +165,7 @@ def rated(root: Node) -> list[Node]:
     nodes = ordered(root)
     prose: dict[int, list] = {}
     for node, link in nodes:
-        text = " ".join(references.unescape("".join(c if isinstance(c, str) else " " for c in node.children)).split())
+        text = " ".join("".join(c if isinstance(c, str) else " " for c in node.children).split())
         node.chars, node.linked = len(text), len(text) if link else 0
         # text of inline elements counts for the block that they are in
         entry = prose.setdefault(id(node.block), [node.block, 0, 0])
@@ -220,7 +222,7 @@ def block_texts(nodes: list[Node]) -> list[str]:
     out, parts = [], []
 
     def flush():
-        text = " ".join(references.unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         parts.clear()
         if text:
             out.append(text)
