@@ -9,7 +9,7 @@ from tierline.operators.checks import combine, key_health as measure_keys, row_f
 from tierline.operators.shaping import dedup_latest
 from tierline.plans.retail.base import query, table
 from tierline.plans.retail.landing import LATEST
-from tierline.registry import Rule
+from tierline.registry import Entity, Rule
 from tierline.session import materialize, work_dir
 from tierline.sources.lake import Lake
 
@@ -28,6 +28,8 @@ PAGE_RULES = [
     Rule("url_secure", "regex_match", "WARN", column="url", pattern=r"^https://"),
     Rule("url_host", "regex_match", "WARN", column="url", pattern=r"^https?://[a-z0-9.]+\.example\.(com|org)/"),
 ]
+# landed documents, of which only those from one source are allowed
+CORPUS = Entity("corpus", "measure", (("text", "string"),), source_system="src0")
 CROSS = Rule("price_per_unit", "cross_field", "WARN", expr="l_extendedprice - l_quantity * 1000 <= 5")
 
 
@@ -60,12 +62,14 @@ LINE_SQL = [
         ("url_secure", "WARN", "url IS NULL OR regexp_matches(url, '^https://')"),
         ("url_host", "WARN", r"url IS NULL OR regexp_matches(url, '^https?://[a-z0-9.]+\.example\.(com|org)/')"),
     ]),
+    _sql_rules("documents", [("source_is_configured", "FATAL", "source IS NULL OR source = 'src0'")]),
 ]))
 def dq_rules(spark, sf):
     """Every row-level rule type, over lines, documents and pages: one scan per table."""
+    documents = table(spark, sf, "documents").withColumnRenamed("source", "source_system")
     return combine([
-        quality.rule_results(table(spark, sf, name), rules)
-        for name, rules in (("lineitem", LINE_RULES), ("documents", DOC_RULES), ("pages", PAGE_RULES))
+        quality.rule_results(rows, rules) for rows, rules in (
+            (table(spark, sf, "lineitem"), LINE_RULES), (documents, [*DOC_RULES, CORPUS.source_rule]), (table(spark, sf, "pages"), PAGE_RULES))
     ])
 
 
@@ -94,8 +98,10 @@ def dq_unique(spark, sf):
     ])
 
 
-@query("dq_row_count_min", """SELECT 'any_rows' AS rule_name, 'FATAL' AS severity, count(*) AS rows_evaluated, 0::BIGINT AS violations, 'PASS' AS result FROM lineitem
-  UNION ALL SELECT 'huge', 'FATAL', count(*), 1, 'FAIL' FROM lineitem""")
+@query("dq_row_count_min", """WITH v AS (
+    SELECT 'any_rows' AS rule_name, 1 AS least, count(*) AS n FROM lineitem UNION ALL SELECT 'huge', 1000000000000000, count(*) FROM lineitem)
+  SELECT rule_name, 'FATAL' AS severity, n AS rows_evaluated, CASE WHEN n < least THEN 1 ELSE 0 END::BIGINT AS violations,
+    CASE WHEN n < least THEN 'FAIL' ELSE 'PASS' END AS result FROM v""")
 def dq_row_count_min(spark, sf):
     rules = [Rule("any_rows", "row_count_min", "FATAL", min=1), Rule("huge", "row_count_min", "FATAL", min=10**15)]
     return quality.verdicts(table(spark, sf, "lineitem"), rules)
