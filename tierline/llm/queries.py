@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import (conversation, decontamination, embedding, html, language, maxent, packing, periodicity, pii, quality,
+from tierline.llm import (conversation, conversation_sql, decontamination, embedding, html, language, maxent, packing, periodicity, pii, quality,
                           similarity, toxicity, warc)
 from tierline.session import tune
 
@@ -141,7 +141,7 @@ def op10(spark, sf_dir):
     return scored.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-@query("op11_conversation_repair")
+@query("op11_conversation_repair", conversation_sql.SQL)
 def op11(spark, sf_dir):
     """Every conversation's faults after the damage, and the cheapest repair."""
     return conversation.repair(conversation.damage(table(spark, sf_dir, "conversations")))
