@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.operators import checks
+from tierline.operators.star import orphan_keys
 from tierline.plans.pipeline import Pipeline
 from tierline.plans.runlog import flow_order
 from tierline.session import materialize
@@ -46,7 +47,7 @@ def diagnose_fact(pipe: Pipeline, entity: str) -> dict[str, DataFrame]:
         "coverage": checks.dim_coverage(dim, list(ref.keys)),
         "by_year": checks.resolution_by_year(fact, years, sk).orderBy("year"),
         "unknown": checks.unknown_rate(fact, sk),
-        "orphans": checks.orphan_keys(fact, dim, sk),
+        "orphans": orphan_keys(fact, dim, sk),
     }
 
 
