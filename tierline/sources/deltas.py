@@ -16,6 +16,7 @@ they are merged with each other. Every row is thereby rewritten a few times at m
 from __future__ import annotations
 
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -143,8 +144,9 @@ class DeltaTable:
         live = self.live()
         known = {f.bucket for f in live}
         seq = max((f.seq for f in live), default=ALL) + 1
-        self._put(self.keys_path, keys.select(*self.keys).withColumn(BUCKET, self.bucket()), seq)
-        self._put(self.rows_path, rows.select(*self.schema.names).withColumn(BUCKET, self.bucket()), seq)
+        brought = {self.keys_path: keys.select(*self.keys), self.rows_path: rows.select(*self.schema.names)}
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            list(pool.map(lambda root: self._put(root, brought[root].withColumn(BUCKET, self.bucket()), seq), brought))
         size = self._sizes(self.rows_path, seq)
         new = [Folder(b, seq, seq if b in known else ALL, size.get(b, 0)) for b in sorted(self._sizes(self.keys_path, seq))]
         self._append(new, WRITE)
