@@ -222,12 +222,13 @@ def test_model_is_a_distribution():
     words = [{"word": k, "n": 5000 - k} for k in range(1500)]
     vocabulary = maxent.Vocabulary(words, sum(w["n"] for w in words), 1500, np.full(maxent.WIDTH, 99.0))
     model = maxent.Model(vocabulary)
-    rng = np.random.default_rng(0)
-    model.of_class += rng.standard_normal(model.of_class.shape).astype(np.float32)
-    model.of_member += rng.standard_normal(model.of_member.shape).astype(np.float32)
-    cls, member = np.divmod(np.arange(maxent.CLASSES * maxent.WIDTH), maxent.WIDTH)
-    f = np.repeat(np.array([[5], [9 << 50], [77 << 40]], np.uint64), len(cls), axis=1)
-    assert abs((10 ** model.log10(f, cls, member)).sum() - 1) < 1e-4
+    leaves = np.arange(vocabulary.own + maxent.WIDTH)
+    f = np.repeat(np.array([[5], [9 << 50], [77 << 40]], np.uint64), len(leaves), axis=1)
+    start = 10 ** model.log10(f, leaves)
+    want = np.append([w["n"] + 0.5 for w in words], vocabulary.masses)
+    assert np.allclose(start, want / want.sum(), rtol=1e-4)
+    model.weights += np.random.default_rng(0).standard_normal(model.weights.shape).astype(np.float32)
+    assert abs((10 ** model.log10(f, leaves)).sum() - 1) < 1e-4
 
 
 def test_toxicity_on_held_out_labels(spark, sf, docs, none):
