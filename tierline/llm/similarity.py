@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.batches import blocks, hashes, mix, sorted_set, words
+from tierline.llm.batches import blocks, column_of, hashes, mix, sorted_set, words
 from tierline.session import materialize
 
 WORDS, SIMILARITY, TREES, DEPTH, TARGET_RECALL = 5, 0.8, 16, 6, 0.999
@@ -220,6 +220,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     joined = similarity_join(docs, id_col, text_col)
     kept = joined.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("digest"))).alias("r"))
     kept = materialize(spark, kept.select(F.col("r.doc_id").alias("_kept_id"), F.col("r.digest").alias("_kept_digest")))
-    named = docs.withColumn("_kept_by", digest)
-    out = named.join(kept, (named["_kept_by"] == kept["_kept_digest"]) & named[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
-    return out.dropDuplicates([id_col, "_kept_by"]).drop("_kept_by")
+    own = column_of("_kept_by", docs.columns)
+    named = docs.withColumn(own, digest)
+    out = named.join(kept, (named[own] == kept["_kept_digest"]) & named[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    return out.dropDuplicates([id_col, own]).drop(own)
