@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tierline.llm import maxent, packing, similarity, warc
 
@@ -59,3 +60,18 @@ def test_a_context_of_one_partition_keeps_its_weight(spark):
         (r,) = maxent.score(docs, docs.doc_id == 1000).filter("doc_id = 1000").collect()
         gain.append(r.score - r.base_score)
     assert gain[1] > 0.5 * gain[0] > 0, gain
+
+
+def test_every_archive_has_a_task_of_its_own(spark, tmp_path):
+    records = spark.range(3200).select((F.col("id") % 32).alias("file"), "id")
+    got = warc.dealt(records, 32).select("file", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(got) == 32 and all(r.file == r.task for r in got)
+    pages = spark.createDataFrame([(k, "u", f"page {k} " * 40) for k in range(60)], "page_id long, url string, html string")
+    limit = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        warc.write(pages, f"file://{tmp_path}/some", roll_bytes=200)
+        assert len(list((tmp_path / "some").glob("*.warc.gz"))) > 3
+        assert {r.page_id: bytes(r.payload).decode() for r in warc.read(spark, f"file://{tmp_path}/some").collect()} == {k: f"page {k} " * 40 for k in range(60)}
+    finally:
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", limit)

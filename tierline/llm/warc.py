@@ -5,6 +5,7 @@ Pass 1 reads the pages for digests and compressed sizes only. These small rows a
 the data alone and not on partitions. Pass 2 sends the payloads to their files, once: the small rows
 with what each record's header needs go along and are merged with the payloads in sorted order.
 
+Every file is written by a task of its own, so as many are written at once as there are cores.
 Files are written under a temporary name, renamed one by one, and become valid when the manifest
 (also written under a temporary name) appears; a folder without a manifest is an unfinished run.
 Each file is one gzip stream of WARC/1.1 records. Everything is written and read by Spark's own file
@@ -104,6 +105,11 @@ def merged(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], list(names))
 
 
+def dealt(records: DataFrame, files: int) -> DataFrame:
+    """Each file's records in a task of its own: the number of the file is the number of the task."""
+    return records.repartitionById(files, F.col("file").cast("int"))
+
+
 def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_revisit_bytes: int = 0, prefix: str = "pages") -> None:
     """Write all rows of (page_id, url, html) as <folder>/<prefix>-<number>.warc.gz with <folder>/manifest.json."""
     spark = pages.sparkSession
@@ -139,10 +145,10 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_revis
         source.select("page_id", "salt", none("string"), none("string"), none("long"), none("long"), "html"))
     keys = ["file", F.col("page_id").asc_nulls_last(), "salt"]
     tasks = max(len(starts), 1)
-    records = (both.withColumn("file", file_of("page_id", "salt")).repartition(tasks, "file").sortWithinPartitions(*keys, F.col("html").isNotNull())
+    records = (both.withColumn("file", file_of("page_id", "salt")).transform(dealt, tasks).sortWithinPartitions(*keys, F.col("html").isNotNull())
                .mapInArrow(merged, "file long, page_id long, salt long, nth long, value string").sortWithinPartitions(*keys, "nth").select("file", "value"))
     temporary = f"{folder.rstrip('/')}/_writing"
-    records.write.mode("overwrite").partitionBy("file").option("lineSep", GAP).option("compression", "gzip").text(temporary)
+    records.write.mode("overwrite").partitionBy("file").option("lineSep", GAP).option("compression", "gzip").option("maxRecordsPerFile", 0).text(temporary)
 
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
