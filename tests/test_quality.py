@@ -92,3 +92,19 @@ def test_empty_table_has_no_pass_rate(spark):
 def test_unique_counts_null_keys(spark):
     df = spark.createDataFrame([(None,), (None,), ("a",)], "k string")
     assert [(r["k"], r["rows"]) for r in quality.duplicates(df, ["k"]).collect()] == [(None, 2)]
+
+
+def test_a_minimum_of_rows_is_judged_from_counts_without_reading_the_older_rows(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def pull(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    new = quality.marked(spark.range(3).withColumn("x", F.col("id")), [])
+    whole = spark.range(8).withColumn("x", F.col("id") % 4).mapInArrow(pull, "id long, x long")
+    counts = quality.marked_counts(new, [Rule("min", "row_count_min", "FATAL", min=9)], whole, 5)
+    assert (counts["n"], counts["n_whole"], counts["failed__min"], read.value) == (3, 8, 1, 0)
+    counts = quality.marked_counts(new, [Rule("min", "row_count_min", "FATAL", min=8), Rule("x", "unique", "WARN", columns=("x",))], whole, 5)
+    assert (counts["n_whole"], counts["failed__min"], counts["failed__x"]) == (8, 0, 4) and read.value > 0

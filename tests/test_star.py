@@ -58,6 +58,13 @@ def test_upsert_replaces_by_grain_and_is_idempotent(spark):
     assert {tuple(r) for r in star.upsert(once, new, ["k", "y", "s"]).collect()} == want
 
 
+def test_upsert_does_not_make_the_replaced_grains_distinct(spark):
+    old, new = (spark.createDataFrame(rows, "k int, v int") for rows in ([(1, 1), (2, 2), (None, 3)], [(1, 10), (1, 11), (None, 30)]))
+    out = star.upsert(old, new, ["k"])
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(r) for r in out.collect()} == {(2, 2), (1, 10), (1, 11), (None, 30)}
+
+
 def test_drill_across_does_not_multiply_shared_keys(spark):
     many = spark.createDataFrame([(-1, 2000, 1)] * 50 + [(7, 2000, 2)], "sk int, y int, v int")
     n = F.count(F.lit(1))

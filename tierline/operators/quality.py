@@ -52,21 +52,25 @@ def marked(df: DataFrame, rules) -> DataFrame:
     return df.withColumn("failed_rules", failed_names([r for r in rules if r.row_level]))
 
 
-def marked_counts(df: DataFrame, rules, whole: DataFrame | None = None) -> dict[str, int]:
+def marked_counts(df: DataFrame, rules, whole: DataFrame | None = None, older: int | None = None) -> dict[str, int]:
     """Rows and violations of a marked table, batch rules included: duplicated keys of a ``unique``
     rule, 1 for a table shorter than ``row_count_min``.
 
-    Batch rules judge ``whole``, of which ``df`` may be the part that is new; all of them in one query.
+    Batch rules judge ``whole``, of which ``df`` may be the part that is new; all of them in one query. Where the number
+    of ``older`` rows is known, ``whole`` is read for ``unique`` rules only.
     """
     rows = [F.count_if(F.array_contains("failed_rules", r.name)).alias(f"failed__{r.name}") for r in rules if r.row_level]
     counts = df.agg(F.count(F.lit(1)).alias("n"), *rows).first().asDict()
     counts["n_whole"] = counts["n"]
     batch = batch_rules(rules)
-    if batch:
+    counted = older is not None and all(r.type == "row_count_min" for r in batch)
+    if batch and counted:
+        counts["n_whole"] += older
+    elif batch:
         whole = df if whole is None else whole
         doubled = [duplicates(whole, list(r.columns)).agg(F.count(F.lit(1))).scalar().alias(f"failed__{r.name}") for r in batch if r.type == "unique"]
         counts |= whole.agg(F.count(F.lit(1)).alias("n_whole")).select("n_whole", *doubled).first().asDict()
-        counts |= {f"failed__{r.name}": int(counts["n_whole"] < r.min) for r in batch if r.type == "row_count_min"}
+    counts |= {f"failed__{r.name}": int(counts["n_whole"] < r.min) for r in batch if r.type == "row_count_min"}
     return counts
 
 

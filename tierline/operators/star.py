@@ -67,12 +67,15 @@ def upsert(existing: DataFrame, incoming: DataFrame, grain: list[str], replaced:
 
     ``replaced`` names the grains that go, if they are more than those of ``incoming``.
     """
-    replaced = (incoming if replaced is None else replaced).select(*grain).dropDuplicates()
+    replaced = incoming if replaced is None else replaced
     return without(existing, replaced, grain).unionByName(incoming)
 
 
 def without(rows: DataFrame, grains: DataFrame, grain: list[str], how: str = "left_anti") -> DataFrame:
-    """Rows whose grain is not (``left_semi``: is) among the given ones, NULL being a value like any other."""
+    """Rows whose grain is not (``left_semi``: is) among the given ones, NULL being a value like any other.
+
+    Grains that are given more than once change nothing, so they are not made distinct.
+    """
     renamed = grains.select(*[F.col(c).alias(f"_g_{c}") for c in grain])
     same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(renamed[f"_g_{c}"]) for c in grain])
     return rows.join(renamed, same, how)

@@ -211,13 +211,18 @@ class Pipeline:
     def _ingest(self, e: Entity) -> tuple[str, Ingested]:
         return e.name, ingest(self.spark, f"{self.landing}/{e.landing_path}", self.bronze(e))
 
-    def _judged(self, e: Entity, typed: DataFrame) -> tuple[DataFrame, Entity]:
-        """Rows marked with the rules they violate, once for all who read them, and the entity with all its rules."""
+    def _judged(self, e: Entity, typed: DataFrame, counted_only: bool = False) -> tuple[DataFrame, Entity]:
+        """Rows marked with the rules they violate, once for all who read them, and the entity with all its rules.
+        What is only counted is kept without the columns no count looks at."""
         rules = e.rules + ((e.source_rule,) if "source_system" in typed.columns else ())
-        return materialize(self.spark, quality.marked(typed, rules)), replace(e, rules=rules)
-
-    def _counted(self, e: Entity, checked: DataFrame, whole: DataFrame | None = None) -> Load:
-        counts = quality.marked_counts(checked, e.rules, whole)
+        marked = quality.marked(typed, rules)
+        if counted_only:
+            looked_at = {"failed_rules", "failed_casts", "batch_id", *(c for r in batch_rules(rules) for c in r.columns)}
+            marked = marked.select(*[c for c in marked.columns if c in looked_at])
+        return materialize(self.spark, marked), replace(e, rules=rules)
+
+    def _counted(self, e: Entity, checked: DataFrame, whole: DataFrame | None = None, older: int | None = None) -> Load:
+        counts = quality.marked_counts(checked, e.rules, whole, older)
         failures = [f"{e.name}.{b.rule}: {b.detail}" for b in quality.breaches(counts, e.rules)]
         return Load(e, counts, failures, quality.results_by_batch(checked, e.rules, e.columns))
 
@@ -232,7 +237,7 @@ class Pipeline:
             return None
         raw = bronze.read_since(self._taken(e, last.get(("metadata", f"taken_{e.name}")))).drop("_batch")
         typed = typed_select(raw.withColumn("failed_casts", failed_casts(e.columns)), e.columns, extra=("failed_casts",))
-        load = self._counted(*reversed(self._judged(e, typed)))
+        load = self._counted(*reversed(self._judged(e, typed, counted_only=True)))
         published = last.get(("gold", f"dim_{e.name}"))
         if load.failures:
             # what must not be published must not reach the history either; it stays pending
@@ -258,14 +263,21 @@ class Pipeline:
         load.tables.append(("gold", f"dim_{e.name}", staged._replace(made_from=self._made_from(e, history=newest)), n, n))
         return e.name, Dimension(self.lake.open(staged), changed), load
 
-    def _merged(self, layer: str, table: str, e: Entity, old, incoming: DataFrame, grains: DataFrame, periods: set) -> tuple[Staged, set[str], int]:
+    def _replaced(self, e: Entity, old, grains: DataFrame) -> dict:
+        """Rows of a published table that new ones of their grain replace, by the period they had: read from
+        the columns of the grain and the period."""
+        if not old:
+            return {}
+        grain = list(e.grain)
+        gone = without(self.lake.open(old).select(*dict.fromkeys((*grain, e.period))), grains, grain, "left_semi")
+        return {r[0]: r[1] for r in gone.groupBy(e.period).count().collect()}
+
+    def _merged(self, layer: str, table: str, e: Entity, old, incoming: DataFrame, grains: DataFrame, periods: set, replaced: dict) -> tuple[Staged, set[str], int]:
         """Put rows into the partitions they belong to, in place of those of the same grains. Other partitions are not opened."""
         grain = list(e.grain)
-        touched = {part(e.period, p) for p in periods}
+        # a grain may have moved
+        touched = {part(e.period, p) for p in (*periods, *replaced)}
         if old:
-            # a grain may have moved: the period it had is read from two columns of the old table
-            moved = without(self.lake.open(old).select(*dict.fromkeys((*grain, e.period))), grains, grain, "left_semi")
-            touched |= {part(e.period, r[0]) for r in moved.select(e.period).distinct().collect()}
             rows = upsert(self.lake.open(old, touched), incoming, grain, grains)
         else:
             rows = incoming
@@ -284,13 +296,17 @@ class Pipeline:
         raw = bronze.read_since(self._taken(e, last.get(("metadata", f"taken_{e.name}"))) if silver else -1).drop("_batch")
         # judged once, then read: silver, quarantine and all counts see the same rows
         checked, judged = self._judged(e, self.silver(e, raw))
-        grains = checked.select(*e.grain).distinct()
-        whole = None
+        # joined to as they are: who is given twice goes once
+        grains = checked.select(*e.grain)
+        replaced, replaced_aside = (self._replaced(e, p, grains) for p in (silver, aside))
+        whole, older = None, 0
         if silver and batch_rules(e.rules):
+            held = sum(n for p in (silver, aside) if p for _, n in p.parts.values())
+            older = held - sum(replaced.values()) - sum(replaced_aside.values())
             names = [c for c in checked.columns if c not in ("failed_rules", "failed_casts")]
-            older = [without(self.lake.open(p).select(*names), grains, list(e.grain)) for p in (silver, aside) if p]
-            whole = reduce(DataFrame.unionByName, [*older, checked.select(*names)])
-        load = self._counted(judged, checked, whole)
+            kept = [without(self.lake.open(p).select(*names), grains, list(e.grain)) for p in (silver, aside) if p]
+            whole = reduce(DataFrame.unionByName, [*kept, checked.select(*names)])
+        load = self._counted(judged, checked, whole, older)
         if load.failures:
             return load
         warn = F.array(*[F.lit(r.name) for r in rules_of(e.rules, "WARN")]).cast("array<string>")
@@ -303,10 +319,10 @@ class Pipeline:
         periods = {r[0] for r in checked.select(e.period).distinct().collect()}
         touched: set[str] = set()
         if load.counts["n"] or not silver:
-            staged, touched, n = self._merged("silver", e.name, e, silver, good, grains, periods)
+            staged, touched, n = self._merged("silver", e.name, e, silver, good, grains, periods, replaced)
             load.tables.append(("silver", e.name, staged, sum(x for _, x in staged.parts.values()), n))
             if aside or load.counts["n"] != n or silver:
-                staged_aside, _, m = self._merged("metadata", f"dq_quarantine_{e.name}", e, aside, bad, grains, periods)
+                staged_aside, _, m = self._merged("metadata", f"dq_quarantine_{e.name}", e, aside, bad, grains, periods, replaced_aside)
                 if staged_aside.parts or aside:
                     load.tables.append(("metadata", f"dq_quarantine_{e.name}", staged_aside, sum(x for _, x in staged_aside.parts.values()), m))
         else:
@@ -323,7 +339,8 @@ class Pipeline:
                 old = None
             else:
                 changed = dim.changed.withColumnRenamed(ref.keys[0], key)
-                seen = self.lake.open(silver).select(key, e.period).join(changed.select(key), key, "left_semi")
+                others = self.lake.open(silver, set(silver.parts) - touched)
+                seen = others.select(key, e.period).join(changed.select(key), key, "left_semi")
                 touched = touched | {part(e.period, r[0]) for r in seen.select(e.period).distinct().collect()}
         if old and not touched:
             return

@@ -11,7 +11,7 @@ from tierline.operators.history import END
 from tierline.operators.shaping import dedup_latest, distinct_rows, typed_select
 from tierline.plans.pipeline import Pipeline
 from tierline.plans.retail.base import query, table
-from tierline.session import work_dir
+from tierline.session import materialize, work_dir
 from tierline.sources.lake import Lake
 from tierline.sources.landing import stamp, write_csv
 from tierline.streaming.changes import change_feed, run_feed
@@ -186,11 +186,12 @@ def assembled_pipeline(spark, sf):
     # lines of one file tie, so each grain is landed once
     lines = dedup_latest(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LATEST)
     lines = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-    sales = lines.select(
+    # once for both deliveries and the restated lines
+    sales = materialize(spark, lines.select(
         F.col("o_custkey").alias("custkey"), F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").alias("linenumber"),
         F.year("l_shipdate").alias("period"), F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("extendedprice"), F.col("l_returnflag").alias("returnflag"),
-    )
+    ))
     restated = sales.where("period = 1996 AND linenumber = 1").withColumn("quantity", F.col("quantity") + 1)
     lake = Lake(spark, f"{root}/lake")
     pipe = Pipeline(lake, registry.load(registry.PACKAGED / "retail.toml"), f"{root}/landing")
