@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierline.operators import history as hist
@@ -182,3 +183,40 @@ def test_segments_are_contiguous_and_bounded(spark):
     cuts = hot.groupBy(skew.SEGMENT).agg(F.count("*").alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi"))
     cuts = cuts.orderBy("lo", "hi").collect()
     assert len(cuts) > 3 and all(a["hi"] <= b["lo"] for a, b in zip(cuts, cuts[1:]))
+
+
+def test_rows_of_a_join_are_computed_once_for_both_ways(spark):
+    """One key of 100 versions among short ones: the rows are not joined again to cut the long key's."""
+    v = spark.createDataFrame([("long", i, i + 1, f"L{i}") for i in range(100)] + [("k", 0, None, "K")], V_SCHEMA)
+    read = spark.sparkContext.accumulator(0)
+
+    def pull(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    f = spark.range(200).selectExpr("if(id % 2 = 0, 'long', 'k') AS k", "id AS at", "id").mapInArrow(pull, "k string, at long, id long")
+    got = {r["id"]: r["label"] for r in temporal_join(f, v, "k", F.col("at"), ["label"], limit=30).collect()}
+    assert got == {i: "K" if i % 2 else f"L{i}" if i < 100 else None for i in range(200)}
+    assert read.value == 200
+
+
+@pytest.mark.parametrize("order", [["seq"], ["seq", "tie"]])
+def test_values_carried_over_segments_equal_plain_windows(spark, order):
+    """Order columns with NULL and with equal first values, segments of few rows and values that are often missing."""
+    rnd = random.Random(9)
+    rows = [("hot", rnd.choice([None, *range(12)]) if len(order) > 1 else i, i, rnd.choice([None, None, None, i])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, seq long, tie long, v long")
+    cut = skew.cut(df, ["k"], order, 300, 40)
+    w = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    row = F.struct("tie")
+    want = df.select("tie", F.lag("tie").over(w), F.lead("tie").over(w), F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    got = skew.lag_across(cut, ["k"], order, row, "a").join(skew.lead_across(cut, ["k"], order, row, "b").select("tie", "b"), "tie")
+    got = got.join(skew.last_known_across(cut, ["k"], order, F.col("v"), "c").select("tie", "c"), "tie")
+    assert sorted(map(tuple, got.select("tie", "a.tie", "b.tie", "c").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_edges_of_segments_need_no_sort_of_all_rows(spark):
+    df = spark.createDataFrame([("a", 1, 0, "x")], f"k string, seq long, {skew.SEGMENT} int, v string")
+    plan = skew._edges(df, ["k"], ["seq"], F.struct("v"), last=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[k" in plan and "partial_max(" in plan

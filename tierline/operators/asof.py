@@ -23,7 +23,8 @@ def long_keys(versions: DataFrame, key: str, most: int) -> DataFrame | None:
     return None if not n else F.broadcast(found) if n <= skew.MAX_BROADCAST_KEYS else found
 
 
-def _interval(facts, versions, key, at, version_key, attrs) -> DataFrame:
+def _interval(facts, versions, key, at, version_key, attrs, few: bool = False) -> DataFrame:
+    """``few``: no key has many versions, so those of a partition fit into a hash table and the rows need no sort."""
     v = versions.select(
         F.col(version_key).alias("_v_key"),
         F.col(START).alias("_v_start"),
@@ -31,7 +32,7 @@ def _interval(facts, versions, key, at, version_key, attrs) -> DataFrame:
         *[F.col(a).alias(f"_v_{a}") for a in attrs],
     )
     holds = (F.col(key) == F.col("_v_key")) & interval_holds(at, F.col("_v_start"), F.col("_v_end"))
-    joined = facts.join(v, holds, "left")
+    joined = facts.join(v.hint("shuffle_hash") if few else v, holds, "left")
     return joined.select(*facts.columns, *[F.col(f"_v_{a}").alias(a) for a in attrs])
 
 
@@ -98,9 +99,11 @@ def temporal_join(
     if method == "auto":
         long = long_keys(versions, version_key, most)
         if long is None:
-            return _interval(facts, versions, key, at, version_key, attrs)
+            return _interval(facts, versions, key, at, version_key, attrs, few=True)
+        # computed once: they are read by both ways, and several times to cut the rows of long keys
+        facts = materialize(facts.sparkSession, facts)
         of_fact, of_version = F.col(key) == F.col("_long"), F.col(version_key) == F.col("_long")
-        short = _interval(facts.join(long, of_fact, "left_anti"), versions.join(long, of_version, "left_anti"), key, at, version_key, attrs)
+        short = _interval(facts.join(long, of_fact, "left_anti"), versions.join(long, of_version, "left_anti"), key, at, version_key, attrs, few=True)
         return short.unionByName(
             _merge(facts.join(long, of_fact, "left_semi"), versions.join(long, of_version, "left_semi"), key, at, version_key, attrs, limit))
     if method == "interval":

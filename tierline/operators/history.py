@@ -63,40 +63,29 @@ def _plain(feed: DataFrame, keys, seq, tracked, last_cols, first_cols, tiebreak)
 
 def _segmented(rows: DataFrame, keys, seq, tracked, last_cols, first_cols) -> DataFrame:
     """The same history for keys cut into segments. ``rows`` is unique on (keys, seq)."""
-    spark = rows.sparkSession
-    state = F.struct(*[F.col(c) for c in tracked])
-    rows = skew.lag_across(rows, keys, [seq], state, "_before")
-    opens = F.col("_before").isNull() | ~_same(F.col("_before"), state)
-    rows = materialize(spark, rows.withColumn("_opens", opens).drop("_before"))
-
-    version = F.when(F.col("_opens"), F.struct(F.col(seq).alias("start"), F.col(skew.SEGMENT).alias("segment")))
-    rows = skew.last_known_across(rows, keys, [seq], version, "_version")
-    # combined before the shuffle, so a version of any length is a few rows per task
-    versions = rows.groupBy(*keys, "_version").agg(
-        F.max_by(F.struct(*[F.col(c) for c in (*tracked, *last_cols)]), F.col(seq)).alias("_last"),
-        F.min_by(F.struct(F.lit(True).alias("_there"), *[F.col(c) for c in first_cols]), F.col(seq)).alias("_first"),
-    )
-    versions = materialize(
-        spark,
-        versions.select(
-            *keys,
-            *[F.col(f"_last.{c}").alias(c) for c in (*tracked, *last_cols)],
-            F.col("_version.start").alias(START),
-            F.col("_version.segment").alias(skew.SEGMENT),
-            *[F.col(f"_first.{c}").alias(f"created_by_{c}") for c in first_cols],
-        ),
-    )
-    nxt = F.struct(F.col(START).alias("seq"), *[F.col(f"created_by_{c}").alias(c) for c in first_cols])
-    versions = skew.lead_across(versions, keys, [START], nxt, "_next")
-    return versions.select(
-        *keys,
-        *tracked,
-        *last_cols,
-        START,
-        F.col("_next.seq").alias(END),
-        *[F.col(f"created_by_{c}") for c in first_cols],
-        *[F.col(f"_next.{c}").alias(f"closed_by_{c}") for c in first_cols],
+    rows = skew.around(rows, keys, [seq], list(dict.fromkeys((*tracked, seq, *first_cols))), "_before", "_after")
+
+    def another(row: str) -> Column:
+        same = _same(F.struct(*[F.col(f"{row}.{c}") for c in tracked]), F.struct(*[F.col(c) for c in tracked]))
+        return F.col(row).isNull() | ~same
+
+    opens, closes = another("_before"), another("_after")
+    # the row after a version's last one is the first of the next version; rows between first and last are left out
+    ends = [
+        F.col(f"_after.{seq}").alias(END),
+        *[F.col(f"_after.{c}").alias(f"closed_by_{c}") for c in first_cols],
+    ]
+    kept = rows.withColumns({"_opens": opens, "_closes": closes}).where("_opens OR _closes").select(
+        *keys, *tracked, *last_cols, F.col(seq).alias(START), skew.SEGMENT, "_opens", "_closes",
+        *[F.col(c).alias(f"created_by_{c}") for c in first_cols], *ends,
     )
+    kept = materialize(rows.sparkSession, kept)
+    closing = [*last_cols, END, *[f"closed_by_{c}" for c in first_cols]]
+    columns = [*keys, *tracked, *last_cols, START, END, *[f"{who}_{c}" for who in ("created_by", "closed_by") for c in first_cols]]
+    # a version of one row is complete; of the others two rows are left, and the second comes right after the first
+    pairs = skew.lead_across(kept.where("NOT (_opens AND _closes)"), keys, [START], F.struct(*closing), "_last").where("_opens")
+    longer = pairs.withColumns({c: F.col(f"_last.{c}") for c in closing})
+    return kept.where("_opens AND _closes").select(*columns).unionByName(longer.select(*columns))
 
 
 def scd2(

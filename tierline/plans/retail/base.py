@@ -96,10 +96,13 @@ h AS (SELECT o_custkey, o_orderpriority, o_totalprice, start_at AS "__START_AT",
 # ---- fact: order lines bound to their customer's version at the ship date --------------------
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.join(orders, "l_orderkey")
+    """Lines with their customer: merged by order at any size, which also lets the later shuffle of them compress better."""
+    return table(spark, sf_dir, "lineitem").join(_orders(spark, sf_dir).hint("merge"), "l_orderkey")
 
 
 def bind(spark: SparkSession, rows: DataFrame, dim: DataFrame, at: str, attrs: tuple[str, ...] = (), leave_out=()) -> DataFrame:
