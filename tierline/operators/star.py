@@ -48,10 +48,10 @@ def build_fact(
     excluded = {key, *NOT_MEASURES, *leave_out}
     kept = [c for c in measures.columns if c not in excluded]
     lineage = [c for c in ("source_system", "batch_id") if c in measures.columns]
-    stamped = measures.withColumn("_at", at).withColumn("_year", year)
-    bound = temporal_join(stamped, dim, key, F.col("_at"), [sk, *attrs], dim_key, method)
+    # date and year are derived on both sides of the shuffle instead of being moved with the rows
+    bound = temporal_join(measures, dim, key, at, [sk, *attrs], dim_key, method)
     calendar = years.select(F.col("year_sk"), F.col("year").alias("_calendar_year"))
-    bound = bound.join(F.broadcast(calendar), F.col("_year") == F.col("_calendar_year"), "left")
+    bound = bound.join(F.broadcast(calendar), year == F.col("_calendar_year"), "left")
     unknown = F.lit(UNKNOWN_SK)
     return bound.select(
         F.coalesce(F.col(sk), unknown).alias(sk),
